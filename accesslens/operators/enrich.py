@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from accesslens.constants import WILDCARD_PREFIX
-from accesslens.functions import net
+from accesslens.functions import agent, net
 
 BLOCK_BITS = 16
 
@@ -169,3 +169,13 @@ def client_host_isp(df: DataFrame, named: DataFrame, client: str = "ip", host: s
             "province": F.when(same, F.col("c_prv_name")).otherwise("other"),
         }
     ).drop(*[f"{p}{c}" for p in ("c_", "h_") for c in ("isp", "isp_name", "prv_name")])
+
+
+def with_ua_list(df: DataFrame, keywords: DataFrame, ua: str, out: str) -> DataFrame:
+    """Agent class by a loaded keyword list, first keyword in list order wins.
+
+    The list is one configuration row, read once as a scalar.
+    """
+    ordered = F.array_sort(F.collect_list(F.struct("ord", "keyword")))
+    words = keywords.agg(F.transform(ordered, lambda x: x["keyword"]).alias("words")).scalar()
+    return df.withColumn("_words", words).withColumn(out, agent.ua_from_list(F.col(ua), F.col("_words"))).drop("_words")

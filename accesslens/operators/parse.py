@@ -44,6 +44,19 @@ Fields = dict[str, Column]
 
 
 # ---------------------------------------------------------------- helpers
+#: Columns a parse may add before the lookups; all others came with the lines.
+_CUT = {
+    "value", "_state", "machine", "ip", "ip_text", "ts_sec", "host", "url", "suffix", "status", "cs",
+    "refer", "ua", "es", "hit", "dd", "rk", "up", "Fa", "Fv", "platform", "node", "fv_hit",
+    "request_url", "is_https", "timestmp",
+}
+
+
+def _given(df: DataFrame, made: set[str] = _CUT) -> list[str]:
+    """Columns that came with the lines, such as an arrival time."""
+    return [c for c in df.columns if c not in made and not c.startswith("_")]
+
+
 def _words(text: Column) -> Column:
     return F.split(F.regexp_replace(F.trim(text), " +", " "), " ")
 
@@ -82,8 +95,11 @@ def accepted(parsed: DataFrame) -> DataFrame:
 
 
 def rejected(parsed: DataFrame) -> DataFrame:
-    bad = (F.col("_state") == "reject") | ((F.col("_state") == "ok") & F.col("domain").isNull())
-    return parsed.filter(bad).select("value")
+    return parsed.filter(is_rejected()).select("value")
+
+
+def is_rejected() -> Column:
+    return (F.col("_state") == "reject") | ((F.col("_state") == "ok") & F.col("domain").isNull())
 
 
 # ------------------------------------------------------- edge / powza / media
@@ -351,22 +367,23 @@ def _mark_unknown(parsed: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------ row families
-def to_access(parsed: DataFrame, dims: Dims, keep: tuple = ()) -> DataFrame:
+def to_access(parsed: DataFrame, dims: Dims) -> DataFrame:
     """Look up owner, isp and province of a cut wide line."""
+    given = _given(parsed)
     df = enrich.map_domain(parsed, dims.domains)
     df = enrich.with_code(df, dims.isp, "isp")
     df = enrich.with_code(df, dims.prv, "prv")
     df = df.withColumn("timestmp", timing.stamp(F.col("ts_sec")))
-    return df.select("value", "_state", "ts_sec", *keep, *ACCESS_LOG.names)
+    return df.select("value", "_state", "ts_sec", *given, *ACCESS_LOG.names)
 
 
-def to_billing(parsed: DataFrame, dims: Dims, keep: tuple = ()) -> DataFrame:
+def to_billing(parsed: DataFrame, dims: Dims) -> DataFrame:
     df = enrich.map_domain(parsed, dims.domains)
     df = enrich.with_code(df, dims.isp, "isp")
     df = enrich.with_code(df, dims.prv, "prv")
     df = enrich.with_area(df, dims.area)
     df = df.withColumns({"platform": F.lit("-"), "pop_id": F.lit(0)})
-    return df.select("value", "_state", *keep, *BILLING.names)
+    return df.select("value", "_state", *_given(parsed), *BILLING.names)
 
 
 def machine_measures(df: DataFrame, dims: Dims) -> DataFrame:
@@ -386,11 +403,11 @@ def machine_measures(df: DataFrame, dims: Dims) -> DataFrame:
     )
 
 
-def to_machine(parsed: DataFrame, dims: Dims, keep: tuple = ()) -> DataFrame:
+def to_machine(parsed: DataFrame, dims: Dims) -> DataFrame:
     df = enrich.map_domain(parsed, dims.domains)
     df = enrich.with_code(df, dims.isp, "isp")
     df = enrich.with_code(df, dims.prv, "prv")
-    return machine_measures(df, dims).select("value", "_state", *keep, *MACHINE.names)
+    return machine_measures(df, dims).select("value", "_state", *_given(parsed), *MACHINE.names)
 
 
 def edge(lines: DataFrame, dims: Dims) -> DataFrame:
@@ -413,22 +430,21 @@ def media_billing(lines: DataFrame, dims: Dims) -> DataFrame:
     return to_billing(_single(lines, MEDIA_BILLING), dims)
 
 
-def machine(lines: DataFrame, dims: Dims, keep: tuple = ()) -> DataFrame:
-    """Machine rows; ``keep`` names extra input columns, such as an arrival time."""
-    return to_machine(_single(lines, EDGE_MACHINE), dims, keep)
+def machine(lines: DataFrame, dims: Dims) -> DataFrame:
+    return to_machine(_single(lines, EDGE_MACHINE), dims)
 
 
-def dispatch_access(lines: DataFrame, dims: Dims, keep: tuple = ()) -> DataFrame:
+def dispatch_access(lines: DataFrame, dims: Dims) -> DataFrame:
     """Mixed lines -> wide rows (powza, else edge), one pass, one set of lookups."""
     cut = _cut(lines, {"edge": EDGE, "powza": POWZA}, line_kind(F.col("value"), media=False))
-    return to_access(_mark_unknown(cut), dims, keep)
+    return to_access(_mark_unknown(cut), dims)
 
 
-def dispatch_billing(lines: DataFrame, dims: Dims, keep: tuple = ()) -> DataFrame:
+def dispatch_billing(lines: DataFrame, dims: Dims) -> DataFrame:
     """Mixed lines -> billing rows (powza, media, else edge)."""
     formats = {"edge": EDGE_BILLING, "powza": POWZA_BILLING, "media": MEDIA_BILLING}
     cut = _cut(lines, formats, line_kind(F.col("value"), media=True))
-    return to_billing(_mark_unknown(cut), dims, keep)
+    return to_billing(_mark_unknown(cut), dims)
 
 
 # ------------------------------------------------------------------ #_# lines
@@ -485,7 +501,7 @@ def hash_v1(lines: DataFrame, dims: Dims) -> DataFrame:
         "es": _at(F.col("_f"), 9).try_cast("double"),
     }
     f["_state"] = F.when(_hash_ok(f, f["es"].isNotNull(), f["host"] != ""), "ok").otherwise("reject")
-    return to_access(df.select("value", *[c.alias(n) for n, c in f.items()]), dims)
+    return to_access(df.select("value", *_given(lines), *[c.alias(n) for n, c in f.items()]), dims)
 
 
 def hash_v2(lines: DataFrame, dims: Dims) -> DataFrame:
@@ -506,14 +522,14 @@ def hash_v2(lines: DataFrame, dims: Dims) -> DataFrame:
     }
     ok = _hash_ok(f, ~net.is_loopback(f["ip_text"], "equals"), f["host"].isNotNull())
     f["_state"] = F.when(ok, "ok").otherwise("reject")
-    cut = df.select("value", *[c.alias(n) for n, c in f.items()])
+    cut = df.select("value", *_given(lines), *[c.alias(n) for n, c in f.items()])
     looked_up = enrich.map_domain(cut, dims.domains)
     looked_up = enrich.with_code(looked_up, dims.isp, "isp")
     looked_up = enrich.with_code(looked_up, dims.prv, "prv")
     secure = F.when(F.col("is_https"), F.concat(F.lit("https_"), "domain")).otherwise(F.col("domain"))
     return looked_up.withColumns(
         {"timestmp": timing.stamp(F.col("ts_sec")), "domain": secure}
-    ).select("value", "_state", "ts_sec", *ACCESS_LOG.names)
+    ).select("value", "_state", "ts_sec", *_given(lines), *ACCESS_LOG.names)
 
 
 def hash_dir(lines: DataFrame) -> DataFrame:
@@ -533,6 +549,7 @@ def hash_dir(lines: DataFrame) -> DataFrame:
     )
     return df.select(
         "value",
+        *_given(lines),
         _state(ok, loop).alias("_state"),
         domain.alias("domain"),
         first.alias("dir"),
@@ -558,6 +575,7 @@ def _json_rows(lines: DataFrame, strict: bool) -> DataFrame:
     failed = F.col("value").contains(JSON_FAILURE_MARK)
     return df.select(
         "value",
+        *_given(lines),
         F.when(ok & ~failed, "ok").otherwise("reject").alias("_state"),
         F.regexp_extract(j["ru"], "^http://([^/]*)/", 1).alias("host"),
         net.ip_to_long(j["a"]).alias("ip"),
@@ -576,7 +594,7 @@ def _json(lines: DataFrame, dims: Dims, strict: bool) -> DataFrame:
     df = enrich.with_code(df, dims.isp, "isp")
     df = enrich.with_code(df, dims.prv, "prv")
     df = df.withColumn("timestamp", timing.stamp(F.col("timestampLong")))
-    return df.select("value", "_state", *JSON_LOG.names)
+    return df.select("value", "_state", *_given(lines), *JSON_LOG.names)
 
 
 def json(lines: DataFrame, dims: Dims) -> DataFrame:
@@ -598,6 +616,7 @@ def directories(lines: DataFrame, dims: Dims) -> DataFrame:
     return rows.select(
         "value",
         "_state",
+        *_given(lines),
         "domain",
         dir1.alias("dir1"),
         dir2.alias("dir2"),
@@ -654,6 +673,7 @@ def slow_rate(
     )
     rows = df.select(
         "value",
+        *_given(lines),
         state.alias("_state"),
         domain.alias("domain"),
         _at(w, 1).alias("host"),
@@ -663,7 +683,7 @@ def slow_rate(
         speed.slow_flag(es, cs).alias("ifSlow"),
     )
     return enrich.client_host_isp(rows, named).select(
-        "value", "_state", "domain", "host", "isp", "province", "time", "ifSlow"
+        "value", "_state", *_given(lines), "domain", "host", "isp", "province", "time", "ifSlow"
     )
 
 
@@ -677,12 +697,13 @@ def trim_request_host(lines: DataFrame) -> DataFrame:
     head, request, rest = (
         F.regexp_extract("value", r"^(.*?\]#_#)(.*?)(#_#.*)$", i) for i in (1, 2, 3)
     )
-    df = lines.select("value", head.alias("_head"), request.alias("_req"), rest.alias("_rest"))
+    df = lines.withColumns({"_head": head, "_req": request, "_rest": rest})
     bare = F.regexp_replace("_req", "^([^ ]* )[^/]*://[^/]*", "$1")
     has_path = F.col("_req").rlike("://[^/]*/")
     out = F.when(F.col("_head") == "", F.lit(None)).when(~F.col("_req").contains("://"), F.col("value"))
     out = out.when(has_path, F.concat("_head", bare, "_rest"))
-    return df.select(out.alias("value")).filter(F.col("value").isNotNull())
+    df = df.withColumn("value", out).filter(F.col("value").isNotNull())
+    return df.select(*lines.columns)
 
 
 def extract_original(lines: DataFrame, raw: bool = False) -> DataFrame:
@@ -691,7 +712,7 @@ def extract_original(lines: DataFrame, raw: bool = False) -> DataFrame:
         found = F.nullif(F.regexp_extract("value", r'ori":"(.*?)","', 1), F.lit(""))
     else:
         found = F.get_json_object("value", "$.ori")
-    return lines.select(found.alias("value")).filter(F.col("value").isNotNull())
+    return lines.withColumn("value", found).filter(F.col("value").isNotNull())
 
 
 # ------------------------------------------------------ format-string parsing
@@ -723,4 +744,4 @@ def by_format(lines: DataFrame, fmt: str) -> DataFrame:
         wrapped = t.startswith("[") | t.startswith('"')
         return F.when(wrapped, F.substring(t, F.lit(2), F.length(t) - 2)).otherwise(t)
 
-    return df.select("value", *[token(p).alias(c) for c, p in format_positions(fmt).items()])
+    return df.select(*lines.columns, *[token(p).alias(c) for c, p in format_positions(fmt).items()])

@@ -7,7 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from accesslens.plans import registry
-from accesslens.plans import rollup_queries  # noqa: F401  (registers its queries)
+from accesslens.plans import (  # noqa: F401  (importing registers the queries)
+    dim_queries,
+    function_queries,
+    join_queries,
+    parse_queries,
+    rollup_queries,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
