@@ -10,6 +10,7 @@ from accesslens.plans import registry
 from accesslens.plans import (  # noqa: F401  (importing registers the queries)
     dim_queries,
     function_queries,
+    io_queries,
     join_queries,
     parse_queries,
     rollup_queries,
