@@ -11,7 +11,11 @@ from accesslens.constants import UA_KEYWORDS, UA_MOBILE, UA_PC, UA_TV
 
 def ua_keyword(ua: Column, words=UA_KEYWORDS) -> Column:
     """First word of the ordered list found in the lower-cased agent."""
-    low = F.lower(ua)
+    return keyword_of(F.lower(ua), words)
+
+
+def keyword_of(low: Column, words=UA_KEYWORDS) -> Column:
+    """The same for an agent that is lower-cased already."""
     cases = [F.when(low.contains(w), F.lit(w)) for w in words]
     return F.coalesce(*cases, F.lit("other"))
 

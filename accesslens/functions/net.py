@@ -17,11 +17,16 @@ def ip_to_long(ip: Column) -> Column:
 
     Parts are folded without a range check, so ``1.2.3.300`` has a value.
     """
-    parts = F.split(ip, r"\.")
+    return parts_to_long(F.split(ip, r"\."))
+
+
+def parts_to_long(parts: Column) -> Column:
+    """The same from split text.  All terms are always evaluated, so the split
+    is done once per row."""
     total = F.lit(0).cast("bigint")
     for i in range(IP_PARTS):
         total = total * 256 + F.get(parts, F.lit(i)).try_cast("bigint")
-    return F.when(F.size(parts) == IP_PARTS, total)
+    return total + F.when(F.get(parts, F.lit(IP_PARTS)).isNull(), 0)
 
 
 def long_to_ip(n: Column) -> Column:
@@ -29,14 +34,25 @@ def long_to_ip(n: Column) -> Column:
     return F.concat_ws(".", *parts)
 
 
+SCHEME_END = "://"
+
+
+def _after_scheme(url: Column) -> Column:
+    return F.substr(url, F.instr(url, SCHEME_END) + len(SCHEME_END))
+
+
+# Plain string functions instead of patterns: these run on every log line.
 def url_host(url: Column) -> Column:
     """Text between ``://`` and the next ``/``; port kept, '' if no scheme."""
-    return F.regexp_extract(url, "://([^/]*)", 1)
+    host = F.substring_index(_after_scheme(url), "/", 1)
+    return F.when(url.contains(SCHEME_END), host).when(url.isNotNull(), "")
 
 
 def url_path(url: Column) -> Column:
     """URL without scheme and query."""
-    return F.regexp_extract(url, r"://([^?]*)", 1)
+    return F.when(url.contains(SCHEME_END), F.substring_index(_after_scheme(url), "?", 1)).when(
+        url.isNotNull(), ""
+    )
 
 
 def drop_query(url: Column) -> Column:
@@ -54,7 +70,7 @@ def suffix_class(url: Column, words=SUFFIXES_EDGE, fold_case: bool = True) -> Co
 
 def parent_domain(host: Column) -> Column:
     """Name after the first dot; a name without a dot is its own parent."""
-    return F.regexp_replace(host, r"^[^.]*\.", "")
+    return F.substr(host, F.instr(host, ".") + 1)
 
 
 def refer_host(refer: Column) -> Column:
@@ -106,9 +122,9 @@ def after_last_mark(ip: Column) -> Column:
 
 def envelope_platform(tag: Column) -> Column:
     """Text between the first two marks of the first token, else ``-``."""
-    found = F.regexp_extract(tag, r"^@\|@(.*?)(@\|@)", 1)
-    closed = F.regexp_extract(tag, r"^@\|@(.*?)(@\|@)", 2)
-    return F.when(closed != "", found).otherwise("-")
+    parts = F.split(tag, r"@\|@", 3)
+    enveloped = tag.startswith(ENVELOPE_MARK) & (F.size(parts) == 3)
+    return F.when(enveloped, F.get(parts, F.lit(1))).otherwise("-")
 
 
 def strip_envelope(line: Column) -> Column:

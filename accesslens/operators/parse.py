@@ -1,8 +1,8 @@
 """Raw lines -> typed rows, as column expressions.
 
-A parse runs in two projections: the first cuts the line into token arrays once,
-the second builds the fields from the arrays.  The optimizer keeps them apart
-because the arrays are used many times, so no line is split twice.
+A parse cuts the line into tokens first and builds the fields from the tokens.
+``_once`` stands between the two: a filter on the fields is not pushed below it,
+so no line is cut a second time to test it.
 
 Each parser returns the input columns plus the fields and ``_state``:
 
@@ -17,12 +17,12 @@ claims is rejected too.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from accesslens.constants import (
+    ENVELOPE_MARK,
     FORMAT_FIELDS,
     FORMAT_SHIFT,
     FORMAT_SHIFT_FIELD,
@@ -57,8 +57,18 @@ def _given(df: DataFrame, made: set[str] = _CUT) -> list[str]:
     return [c for c in df.columns if c not in made and not c.startswith("_")]
 
 
+def _once(df: DataFrame, given: list[str], made: Fields) -> DataFrame:
+    """``given`` columns plus ``made`` ones, each computed once per row.
+
+    A one-element ``inline`` keeps its input as it is, but the optimizer does not
+    push filters through it by repeating the expressions.
+    """
+    return df.select(*given, F.inline(F.array(F.struct(*[c.alias(n) for n, c in made.items()]))))
+
+
 def _words(text: Column) -> Column:
-    return F.split(F.regexp_replace(F.trim(text), " +", " "), " ")
+    """Words between runs of spaces; no pattern needed."""
+    return F.array_remove(F.split(text, " "), "")
 
 
 def _at(array: Column, i: int) -> Column:
@@ -78,14 +88,6 @@ def _state(well_formed: Column, dropped: Column) -> Column:
     return F.when(_all(dropped), "drop").when(well_formed, "ok").otherwise("reject")
 
 
-def _node_text(line: Column) -> Column:
-    return F.coalesce(net.ip_to_long(net.last_word(line)).cast("string"), F.lit("0"))
-
-
-def _node_number(line: Column) -> Column:
-    return F.coalesce(net.ip_to_long(net.last_word(line)), F.lit(0).cast("bigint"))
-
-
 def _dash_to_zero(text: Column) -> Column:
     return F.when(text == "-", F.lit(0.0)).otherwise(text.try_cast("double"))
 
@@ -103,263 +105,171 @@ def is_rejected() -> Column:
 
 
 # ------------------------------------------------------- edge / powza / media
-# A format is some token stages and then its fields; each stage sees what the
-# stages before it made.
-def _edge_quotes(t: Fields) -> Fields:
-    return {"q": F.split(t["value"], '"', 7)}
+# All three have words, a bracketed time and a rest:
+#   edge   tag machine ip es - [time] "METHOD url PROTO" status cs "refer" "agent" hit ... node
+#   powza  tag machine epoch ip - - [time] status cs domain_url es METHOD url "agent" ... node
+#   media  tag machine x y [time] id domain_url x x ip x x x x x cs ... node
+# so one set of expressions cuts them, with places picked by the kind of line.
+EDGE, POWZA, MEDIA = "edge", "powza", "media"
+
+
+class _Spaced:
+    """Tokens of spaced lines, cut stage by stage."""
+
+    def __init__(self, lines: DataFrame, kinds: tuple[str, ...], kind: Column | None):
+        self.base, self.kinds = lines.columns, kinds
+        self.df = lines.withColumn("_kind", kind) if len(kinds) > 1 else lines
+
+    def pick(self, **by_kind: Column) -> Column:
+        """The expression of a line's kind; no test when there is one kind."""
+        if len(self.kinds) == 1:
+            return by_kind[self.kinds[0]]
+        return F.coalesce(*[F.when(F.col("_kind") == k, by_kind[k]) for k in self.kinds])
+
+    def stage(self, **made: Column) -> None:
+        self.df = self.df.withColumns({f"_{n}": c for n, c in made.items()})
+
+    def cut(self) -> None:
+        value, w, a, q = F.col("value"), F.col("_w"), F.col("_a"), F.col("_q")
+        inside = F.substr(value, F.instr(value, " [") + 2)
+        self.stage(
+            w=_words(F.substring_index(value, "[", 1)),
+            time=F.when(value.contains(" ["), F.substring_index(inside, "] ", 1)),
+            after=F.when(value.contains("] "), F.substr(value, F.instr(value, "] ") + 2)),
+        )
+        self.stage(q=F.split("_after", '"', 7))
+        words = self.pick(edge=_at(q, 2), powza=_at(q, 0), media=F.col("_after"))
+        self.stage(a=_words(words), edge_url=_at(F.split(_at(q, 1), " "), 1))
+        ip_text = net.after_last_mark(self.pick(edge=_at(w, 2), powza=_at(w, 3), media=_at(a, 4)))
+        self.stage(
+            ip_text=ip_text,
+            ip_parts=F.split(ip_text, r"\."),
+            node_parts=F.split(net.last_word(value), r"\."),
+            sec=timing.log_time(F.col("_time")),
+            host=net.url_host(self.pick(edge=F.col("_edge_url"), powza=_at(a, 2), media=_at(a, 1))),
+            cs=self.pick(edge=_at(a, 1), powza=_at(a, 1), media=_at(a, 10)).try_cast("bigint"),
+        )
+        self.stage(
+            ip=net.parts_to_long(F.col("_ip_parts")),
+            node=net.parts_to_long(F.col("_node_parts")),
+        )
 
+    def cut_wide(self) -> None:
+        q = F.col("_q")
+        self.stage(
+            path=net.url_path(self.pick(edge=F.col("_edge_url"), powza=_at(F.col("_a"), 5))),
+            ua_low=F.lower(self.pick(edge=_at(q, 5), powza=_at(q, 1))),
+            tail=self.pick(edge=_words(_at(q, 6)), powza=F.array().cast("array<string>")),
+        )
 
-def _edge_words(t: Fields) -> Fields:
-    head = _at(t["q"], 0)
-    return {
-        "w": _words(F.substring_index(head, "[", 1)),
-        "sec": timing.log_time(F.regexp_extract(head, r" \[([^\]]*)\] $", 1)),
-        "m": _words(_at(t["q"], 2)),
-        "tail": _words(_at(t["q"], 6)),
-        "url": _at(F.split(_at(t["q"], 1), " "), 1),
-    }
+    def basics(self) -> Fields:
+        return {"ip": F.col("_ip"), "ts_sec": F.col("_sec"), "host": F.col("_host"), "cs": F.col("_cs")}
+
+    def basics_ok(self) -> Column:
+        """Words before the time, time, host, bytes and address."""
+        n = self.pick(edge=F.lit(5), powza=F.lit(6), media=F.lit(4))
+        return _all(
+            F.size("_w") == n,
+            F.col("_sec").isNotNull(),
+            F.col("_host") != "",
+            F.col("_cs").isNotNull(),
+            F.col("_ip").isNotNull(),
+        )
 
+    def build(self, fields: Fields) -> DataFrame:
+        return self.df.select(*self.base, *[c.alias(n) for n, c in fields.items()])
 
-def _edge_values(t: Fields) -> Fields:
-    ip_text = net.after_last_mark(_at(t["w"], 2))
-    return {
-        "ip_text": ip_text,
-        "ip": net.ip_to_long(ip_text),
-        "cs": _at(t["m"], 1).try_cast("bigint"),
-        "host": net.url_host(t["url"]),
-        "path": net.url_path(t["url"]),
-    }
+    def once(self) -> None:
+        self.df = _once(self.df, self.base, {c: F.col(c) for c in self.df.columns if c not in self.base})
 
 
-def _edge_head_ok(t: Fields) -> Column:
-    return _all(F.size(t["w"]) == 5, _basics_ok(t))
+def _one_space_end(text: Column) -> Column:
+    return text.endswith(" ") & ~text.endswith("  ")
 
 
-def _basics_ok(t: Fields) -> Column:
-    return _all(
-        t["sec"].isNotNull(), t["host"] != "", t["cs"].isNotNull(), t["ip"].isNotNull()
+def _wide(lines: DataFrame, kinds: tuple[str, ...], kind: Column | None = None) -> DataFrame:
+    """Wide rows.  After the agent an edge line is cut at plain spaces, quotes or not."""
+    cut = _Spaced(lines, kinds, kind)
+    cut.cut()
+    cut.cut_wide()
+    cut.once()
+    q, w, a, tail = F.col("_q"), F.col("_w"), F.col("_a"), F.col("_tail")
+    edge_hit = (
+        F.when(F.size(q) < 7, NO_HIT_TEXT).when(F.size(tail) == 0, "-").otherwise(_at(tail, 0))
     )
-
-
-def _edge_fields(t: Fields) -> Fields:
-    """Wide row.  After the agent the line is cut at plain spaces, quotes or not."""
-    closed = F.size(t["q"]) == 7
-    tail = t["tail"]
-    rest = _at(t["q"], 6)
-    f = {
-        "machine": _at(t["w"], 1),
-        "ip": t["ip"],
-        "ts_sec": t["sec"],
-        "host": t["host"],
-        "url": t["path"],
-        "suffix": net.suffix_class(t["path"]),
-        "status": _at(t["m"], 0),
-        "cs": t["cs"],
-        "refer": net.refer_host(_at(t["q"], 3)),
-        "ua": agent.ua_keyword(_at(t["q"], 5)),
-        "es": _dash_to_zero(_at(t["w"], 3)),
-        "hit": F.when(~closed, NO_HIT_TEXT).when(F.trim(rest) == "", "-").otherwise(_at(tail, 0)),
+    fields = {
+        "machine": _at(w, 1),
+        **cut.basics(),
+        "url": F.col("_path"),
+        "suffix": net.suffix_class(F.col("_path")),
+        "status": _at(a, 0),
+        "refer": cut.pick(edge=net.refer_host(_at(q, 3)), powza=F.lit("-")),
+        "ua": agent.keyword_of(F.col("_ua_low")),
+        "es": cut.pick(edge=_dash_to_zero(_at(w, 3)), powza=F.lit(0.0)),
+        "hit": cut.pick(edge=edge_hit, powza=F.lit(NO_HIT_TEXT)),
         "dd": F.coalesce(F.when(F.size(tail) > 11, _at(tail, 10).try_cast("int")), F.lit(0)),
         "rk": _or_dash(_at(tail, 11)),
         "up": _or_dash(_at(tail, 12)),
         "Fa": _or_dash(_at(tail, 13)),
         "Fv": _or_dash(_at(tail, 14)),
-        "platform": net.envelope_platform(_at(t["w"], 0)),
-        "node": _node_text(t["value"]),
+        "platform": cut.pick(edge=net.envelope_platform(_at(w, 0)), powza=F.lit("-")),
+        "node": F.coalesce(F.col("_node").cast("string"), F.lit("0")),
     }
-    ok = _all(
-        _edge_head_ok(t),
-        F.size(t["q"]) >= 6,
-        _at(t["q"], 2).rlike(r"^ +\S+ +\S+ $"),
-        _at(t["q"], 4) == " ",
-        _at(t["q"], 3) != "",
-        _at(t["q"], 5) != "",
-        f["es"].isNotNull(),
+    edge_ok = _all(
+        _at(q, 0) == "",
+        F.size(q) >= 6,
+        F.size(a) == 2,
+        _at(q, 2).startswith(" ") & _one_space_end(_at(q, 2)),
+        _at(q, 3) != "",
+        _at(q, 4) == " ",
+        fields["es"].isNotNull(),
     )
-    f["_state"] = _state(ok, net.is_loopback(t["ip_text"]))
-    return f
-
-
-def _billing_basics(t: Fields) -> Fields:
-    return {"ip": t["ip"], "ts_sec": t["sec"], "host": t["host"], "cs": t["cs"]}
-
-
-def _edge_billing_fields(t: Fields) -> Fields:
-    """Billing row: nothing after the byte count matters."""
-    f = _billing_basics(t) | {
-        "status": _at(t["m"], 0),
-        "es": F.coalesce(_at(t["w"], 3).try_cast("double"), F.lit(0.0)),
-        "node": _node_number(t["value"]),
-    }
-    ok = _all(_edge_head_ok(t), _at(t["q"], 2).startswith(" "))
-    f["_state"] = _state(ok, net.is_loopback(t["ip_text"]))
-    return f
-
-
-def _brackets(t: Fields) -> Fields:
-    value = t["value"]
-    return {
-        "w": _words(F.substring_index(value, "[", 1)),
-        "sec": timing.log_time(F.regexp_extract(value, r" \[([^\]]*)\] ", 1)),
-        "after": F.regexp_extract(value, r"\] (.*)$", 1),
+    powza_ok = _all(F.size(a) == 6, _one_space_end(_at(q, 0)))
+    ok = _all(cut.basics_ok(), F.col("_ua_low") != "", cut.pick(edge=edge_ok, powza=powza_ok))
+    fields["_state"] = _state(ok, net.is_loopback(F.col("_ip_text")))
+    fields["_raw_ip"] = _at(w, 2)
+    return cut.build(fields)
+
+
+def _billing(lines: DataFrame, kinds: tuple[str, ...], kind: Column | None = None) -> DataFrame:
+    """Billing rows: nothing after the byte count matters, but for the node."""
+    cut = _Spaced(lines, kinds, kind)
+    cut.cut()
+    cut.once()
+    q, w, a = F.col("_q"), F.col("_w"), F.col("_a")
+    es_text = cut.pick(edge=_at(w, 3), powza=_at(a, 3), media=F.lit("0"))
+    fields = {
+        **cut.basics(),
+        "status": cut.pick(edge=_at(a, 0), powza=_at(a, 0), media=F.lit("0")),
+        "es": F.coalesce(es_text.try_cast("double"), F.lit(0.0)),
+        "node": F.coalesce("_node", F.lit(0).cast("bigint")),
     }
-
-
-def _powza_words(t: Fields) -> Fields:
-    return {
-        "q": F.split(t["after"], '"', 3),
-        "a": _words(F.substring_index(t["after"], '"', 1)),
-    }
-
-
-def _powza_values(t: Fields) -> Fields:
-    ip_text = net.after_last_mark(_at(t["w"], 3))
-    return {
-        "ip_text": ip_text,
-        "ip": net.ip_to_long(ip_text),
-        "host": net.url_host(_at(t["a"], 2)),
-        "cs": _at(t["a"], 1).try_cast("bigint"),
-        "path": net.url_path(_at(t["a"], 5)),
-    }
-
-
-def _powza_fields(t: Fields) -> Fields:
-    f = {
-        "machine": _at(t["w"], 1),
-        "ip": t["ip"],
-        "ts_sec": t["sec"],
-        "host": t["host"],
-        "url": t["path"],
-        "suffix": net.suffix_class(t["path"]),
-        "status": _at(t["a"], 0),
-        "cs": t["cs"],
-        "refer": F.lit("-"),
-        "ua": agent.ua_keyword(_at(t["q"], 1)),
-        "es": F.lit(0.0),
-        "hit": F.lit(NO_HIT_TEXT),
-        "dd": F.lit(0),
-        **{c: F.lit("-") for c in ("rk", "up", "Fa", "Fv", "platform")},
-        "node": _node_text(t["value"]),
-    }
-    ok = _all(
-        F.size(t["w"]) == 6,
-        F.size(t["a"]) == 6,
-        _at(t["q"], 0).rlike(r"\S $"),
-        _at(t["q"], 1) != "",
-        _basics_ok(t),
+    edge_ok = _all(_at(q, 0) == "", _at(q, 2).startswith(" "))
+    ok = _all(cut.basics_ok(), cut.pick(edge=edge_ok, powza=F.lit(True), media=F.lit(True)))
+    fields["_state"] = _state(ok, net.is_loopback(F.col("_ip_text")))
+    return cut.build(fields)
+
+
+def _machine_cut(lines: DataFrame) -> DataFrame:
+    """Machine rows: the client must be a bare address, only 127.0.0.1 is dropped."""
+    wide = _wide(lines, (EDGE,))
+    bare = ~F.col("_raw_ip").startswith(ENVELOPE_MARK)
+    ok = _all(F.col("_state") != "reject", bare, F.col("ip").isNotNull())
+    return wide.withColumns(
+        {
+            "fv_hit": speed.first_word_has_hit(F.col("Fv")),
+            "_state": _state(ok, net.is_loopback(F.col("_raw_ip"), "equals")),
+        }
     )
-    f["_state"] = _state(ok, net.is_loopback(t["ip_text"]))
-    return f
-
-
-def _powza_billing_fields(t: Fields) -> Fields:
-    """Billing row; the elapsed time follows the domain URL here."""
-    f = _billing_basics(t) | {
-        "status": _at(t["a"], 0),
-        "es": F.coalesce(_at(t["a"], 3).try_cast("double"), F.lit(0.0)),
-        "node": _node_number(t["value"]),
-    }
-    ok = _all(F.size(t["w"]) == 6, _basics_ok(t))
-    f["_state"] = _state(ok, net.is_loopback(t["ip_text"]))
-    return f
-
-
-def _media_words(t: Fields) -> Fields:
-    return {"a": _words(t["after"])}
-
-
-def _media_values(t: Fields) -> Fields:
-    """URL, client and bytes are words 1, 4 and 10 after the time."""
-    ip_text = net.after_last_mark(_at(t["a"], 4))
-    return {
-        "ip_text": ip_text,
-        "ip": net.ip_to_long(ip_text),
-        "host": net.url_host(_at(t["a"], 1)),
-        "cs": _at(t["a"], 10).try_cast("bigint"),
-    }
-
-
-def _media_fields(t: Fields) -> Fields:
-    f = _billing_basics(t) | {
-        "status": F.lit("0"),
-        "es": F.lit(0.0),
-        "node": _node_number(t["value"]),
-    }
-    ok = _all(F.size(t["w"]) == 4, _basics_ok(t))
-    f["_state"] = _state(ok, net.is_loopback(t["ip_text"]))
-    return f
-
-
-def _edge_machine_fields(t: Fields) -> Fields:
-    """Machine row: the client must be a bare address, only 127.0.0.1 is dropped."""
-    f = _edge_fields(t)
-    raw_ip = _at(t["w"], 2)
-    ok = _all(f["_state"] != "reject", net.ip_to_long(raw_ip).isNotNull())
-    return {
-        "machine": f["machine"],
-        "ip": net.ip_to_long(raw_ip),
-        "ts_sec": f["ts_sec"],
-        "host": f["host"],
-        "status": f["status"],
-        "ua": f["ua"],
-        "es": f["es"],
-        "cs": f["cs"],
-        "hit": f["hit"],
-        "up": f["up"],
-        "fv_hit": speed.first_word_has_hit(f["Fv"]),
-        "_state": _state(ok, net.is_loopback(raw_ip, "equals")),
-    }
-
-
-#: token stages in order, then the fields.
-Format = tuple[Callable[[Fields], Fields], ...]
-_EDGE_STAGES = (_edge_quotes, _edge_words, _edge_values)
-_POWZA_STAGES = (_brackets, _powza_words, _powza_values)
-_MEDIA_STAGES = (_brackets, _media_words, _media_values)
-EDGE: Format = (*_EDGE_STAGES, _edge_fields)
-EDGE_BILLING: Format = (*_EDGE_STAGES, _edge_billing_fields)
-EDGE_MACHINE: Format = (*_EDGE_STAGES, _edge_machine_fields)
-POWZA: Format = (*_POWZA_STAGES, _powza_fields)
-POWZA_BILLING: Format = (*_POWZA_STAGES, _powza_billing_fields)
-MEDIA_BILLING: Format = (*_MEDIA_STAGES, _media_fields)
-
-
-def _cut(lines: DataFrame, formats: dict[str, Format], kind: Column) -> DataFrame:
-    """Cut every line by the format of its kind, in one pass over the lines."""
-    base = lines.columns
-    df = lines.withColumn("_kind", kind)
-    known: dict[str, Fields] = {n: {"value": F.col("value")} for n in formats}
-    for stage in zip(*[fmt[:-1] for fmt in formats.values()]):
-        made = {n: step(known[n]) for n, step in zip(formats, stage)}
-        df = df.select(
-            "*",
-            *[
-                F.when(F.col("_kind") == n, c).alias(f"_{n}_{t}")
-                for n, tokens in made.items()
-                for t, c in tokens.items()
-            ],
-        )
-        for n, tokens in made.items():
-            known[n] |= {t: F.col(f"_{n}_{t}") for t in tokens}
-    rows = {n: fmt[-1](known[n]) for n, fmt in formats.items()}
-    outs = {}
-    for field in next(iter(rows.values())):
-        cases = [F.when(F.col("_kind") == n, r[field]) for n, r in rows.items()]
-        outs[field] = F.coalesce(*cases)
-    return df.select(*base, *[c.alias(n) for n, c in outs.items()])
-
-
-def _single(lines: DataFrame, fmt: Format) -> DataFrame:
-    return _cut(lines, {"x": fmt}, F.lit("x"))
 
 
 def line_kind(value: Column, media: bool) -> Column:
     """Format by the first word; a line without a space has no format."""
     word = F.upper(F.substring_index(value, " ", 1))
-    kind = F.when(~value.contains(" "), F.lit(None)).when(word.contains(POWZA_WORD), "powza")
+    kind = F.when(~value.contains(" "), F.lit(None)).when(word.contains(POWZA_WORD), POWZA)
     if media:
-        kind = kind.when(word.contains(MEDIA_WORD), "media")
-    return kind.otherwise("edge")
+        kind = kind.when(word.contains(MEDIA_WORD), MEDIA)
+    return kind.otherwise(EDGE)
 
 
 def _mark_unknown(parsed: DataFrame) -> DataFrame:
@@ -411,39 +321,38 @@ def to_machine(parsed: DataFrame, dims: Dims) -> DataFrame:
 
 
 def edge(lines: DataFrame, dims: Dims) -> DataFrame:
-    return to_access(_single(lines, EDGE), dims)
+    return to_access(_wide(lines, (EDGE,)), dims)
 
 
 def powza(lines: DataFrame, dims: Dims) -> DataFrame:
-    return to_access(_single(lines, POWZA), dims)
+    return to_access(_wide(lines, (POWZA,)), dims)
 
 
 def edge_billing(lines: DataFrame, dims: Dims) -> DataFrame:
-    return to_billing(_single(lines, EDGE_BILLING), dims)
+    return to_billing(_billing(lines, (EDGE,)), dims)
 
 
 def powza_billing(lines: DataFrame, dims: Dims) -> DataFrame:
-    return to_billing(_single(lines, POWZA_BILLING), dims)
+    return to_billing(_billing(lines, (POWZA,)), dims)
 
 
 def media_billing(lines: DataFrame, dims: Dims) -> DataFrame:
-    return to_billing(_single(lines, MEDIA_BILLING), dims)
+    return to_billing(_billing(lines, (MEDIA,)), dims)
 
 
 def machine(lines: DataFrame, dims: Dims) -> DataFrame:
-    return to_machine(_single(lines, EDGE_MACHINE), dims)
+    return to_machine(_machine_cut(lines), dims)
 
 
 def dispatch_access(lines: DataFrame, dims: Dims) -> DataFrame:
     """Mixed lines -> wide rows (powza, else edge), one pass, one set of lookups."""
-    cut = _cut(lines, {"edge": EDGE, "powza": POWZA}, line_kind(F.col("value"), media=False))
+    cut = _wide(lines, (EDGE, POWZA), line_kind(F.col("value"), media=False))
     return to_access(_mark_unknown(cut), dims)
 
 
 def dispatch_billing(lines: DataFrame, dims: Dims) -> DataFrame:
     """Mixed lines -> billing rows (powza, media, else edge)."""
-    formats = {"edge": EDGE_BILLING, "powza": POWZA_BILLING, "media": MEDIA_BILLING}
-    cut = _cut(lines, formats, line_kind(F.col("value"), media=True))
+    cut = _billing(lines, (EDGE, POWZA, MEDIA), line_kind(F.col("value"), media=True))
     return to_billing(_mark_unknown(cut), dims)
 
 
@@ -451,22 +360,30 @@ def dispatch_billing(lines: DataFrame, dims: Dims) -> DataFrame:
 def _hash_split(lines: DataFrame, strip: bool) -> DataFrame:
     text = net.strip_envelope(F.col("value")) if strip else F.col("value")
     df = lines.withColumn("_f", F.split(text, HASH_SEPARATOR))
-    return df.withColumn("_h", F.split(_at(F.col("_f"), 0), " "))
+    f = F.col("_f")
+    bracketed = _at(f, 3)
+    made = {
+        "_f": f,
+        "_h": F.split(_at(f, 0), " "),
+        "_sec": timing.log_time(F.substring(bracketed, 2, F.length(bracketed) - 2)),
+        "_ip": net.ip_to_long(_at(f, 1)),
+        "_url": _at(F.split(_at(f, 4), " "), 1),
+        "_cs": F.substring_index(_at(f, 14), " ", 1).try_cast("bigint"),
+    }
+    return _once(df, lines.columns, made)
 
 
-def _hash_common(ua_words: Column) -> Fields:
+def _hash_common() -> Fields:
     f = F.col("_f")
     name = _at(F.col("_h"), 1)
-    bracketed = _at(f, 3)
-    url = _at(F.split(_at(f, 4), " "), 1)
     return {
         "machine": name,
         "ip_text": _at(f, 1),
-        "ip": net.ip_to_long(_at(f, 1)),
-        "ts_sec": timing.log_time(F.substring(bracketed, 2, F.length(bracketed) - 2)),
-        "request_url": url,
+        "ip": F.col("_ip"),
+        "ts_sec": F.col("_sec"),
+        "request_url": F.col("_url"),
         "status": _at(f, 5),
-        "cs": F.substring_index(_at(f, 14), " ", 1).try_cast("bigint"),
+        "cs": F.col("_cs"),
         "refer": _at(f, 7),
         "ua": agent.ua_device(_at(f, 8)),
         "hit": F.substring_index(_at(f, 12), " ", 1),
@@ -491,7 +408,7 @@ def _hash_ok(f: Fields, *more: Column) -> Column:
 def hash_v1(lines: DataFrame, dims: Dims) -> DataFrame:
     """``#_#`` line, domain from the request URL."""
     df = _hash_split(lines, strip=False)
-    f = _hash_common(F.col("_f"))
+    f = _hash_common()
     url = f["request_url"]
     path = net.url_path(url)
     f |= {
@@ -511,7 +428,7 @@ def hash_v2(lines: DataFrame, dims: Dims) -> DataFrame:
     domain; ``https_`` is put in front afterwards.
     """
     df = _hash_split(lines, strip=True)
-    f = _hash_common(F.col("_f"))
+    f = _hash_common()
     path = net.drop_query(f["request_url"])
     f |= {
         "host": _at(F.col("_h"), 2),
@@ -535,13 +452,13 @@ def hash_v2(lines: DataFrame, dims: Dims) -> DataFrame:
 def hash_dir(lines: DataFrame) -> DataFrame:
     """``#_#`` line -> (domain, dir, timestamp, flow_size, https_flag)."""
     df = _hash_split(lines.filter(F.col("value").contains(HASH_SEPARATOR)), strip=True)
-    f = _hash_common(F.col("_f"))
+    f = _hash_common()
     enveloped = F.col("value").startswith("@|@")
     loop = F.when(enveloped, net.is_loopback(f["ip_text"], "prefix127.0.0")).otherwise(
         net.is_loopback(f["ip_text"], "equals")
     )
     last = F.element_at("_f", -1)
-    sec = timing.log_time(F.translate(_at(F.col("_f"), 3), "[]", ""))
+    sec = f["ts_sec"]
     first = net.first_dir(f["request_url"])
     domain = _at(F.col("_h"), 2)
     ok = _all(
@@ -561,7 +478,7 @@ def hash_dir(lines: DataFrame) -> DataFrame:
 
 # ----------------------------------------------------------------- JSON lines
 def _json_rows(lines: DataFrame, strict: bool) -> DataFrame:
-    df = lines.withColumn("_j", F.from_json("value", JSON_LINE))
+    df = _once(lines, lines.columns, {"_j": F.from_json("value", JSON_LINE)})
     j = {c: F.col(f"_j.{c}") for c in JSON_LINE.names if c != "tl"} | {"tl": F.col("_j.tl.value")}
     given = _all(*[c.isNotNull() for c in j.values()]) if strict else F.lit(True)
     if not strict:
@@ -638,13 +555,19 @@ def slow_rate(
     df = lines.withColumn("_line", net.strip_envelope(F.trim("value")))
     df = df.withColumns({"_q": F.split("_line", '"', 3), "_w": F.split("_line", " ", 5)})
     q, w = F.col("_q"), F.col("_w")
-    df = df.withColumn("_s", F.split(_at(q, 2), " ", 4))
-    s = F.col("_s")
+    made = {
+        "_request": _at(q, 1),
+        "_w": w,
+        "_s": F.split(_at(q, 2), " ", 4),
+        "_sec": timing.log_time(F.regexp_extract(_at(q, 0), r"\[([^\]]*)\]", 1)),
+        "_ip": net.ip_to_long(_at(w, 2)),
+        "_host_ip": net.ip_to_long(net.last_word(F.col("_line"))),
+        "_domain": net.url_host(_at(q, 1)),
+    }
+    df = _once(df, lines.columns, made)
+    s, sec, host_ip, domain = F.col("_s"), F.col("_sec"), F.col("_host_ip"), F.col("_domain")
     ip_text, es_text, cs_text, status = _at(w, 2), _at(w, 3), _at(s, 2), _at(s, 1)
     es, cs = es_text.try_cast("float"), cs_text.try_cast("float")
-    sec = timing.log_time(F.regexp_extract(_at(q, 0), r"\[([^\]]*)\]", 1))
-    host_ip = net.ip_to_long(net.last_word(F.col("_line")))
-    domain = net.url_host(_at(q, 1))
     if isinstance(domains, DataFrame):
         names = domains.select(F.col("domain").alias("_listed")).distinct()
         df = df.join(names, domain == F.col("_listed"), "left")
@@ -661,14 +584,14 @@ def slow_rate(
         .when(F.trim(es_text) == "-", "drop")
         .when(absent(es), "reject")
         .when(es < 0, "drop")
-        .when(absent(sec) | absent(_at(q, 1)), "reject")
+        .when(absent(sec) | absent(F.col("_request")), "reject")
         .when(~listed, "drop")
         .when(F.size(s) < 4, "reject")
         .when(status.startswith("4") | status.startswith("5"), "drop")
         .when(F.trim(cs_text) == "-", "drop")
         .when(absent(cs), "reject")
         .when(cs < SLOW_MIN_BYTES, "drop")
-        .when(absent(net.ip_to_long(ip_text)) | absent(host_ip), "reject")
+        .when(absent(F.col("_ip")) | absent(host_ip), "reject")
         .otherwise("ok")
     )
     rows = df.select(
@@ -677,7 +600,7 @@ def slow_rate(
         state.alias("_state"),
         domain.alias("domain"),
         _at(w, 1).alias("host"),
-        net.ip_to_long(ip_text).alias("ip"),
+        F.col("_ip").alias("ip"),
         host_ip.alias("host_ip"),
         timing.five_label(sec).alias("time"),
         speed.slow_flag(es, cs).alias("ifSlow"),
@@ -737,7 +660,7 @@ def format_positions(fmt: str) -> dict[str, int]:
 
 def by_format(lines: DataFrame, fmt: str) -> DataFrame:
     """Lines -> one text column per field of the format string."""
-    df = lines.withColumn("_t", F.regexp_extract_all("value", F.lit(_TOKEN), F.lit(0)))
+    df = _once(lines, lines.columns, {"_t": F.regexp_extract_all("value", F.lit(_TOKEN), F.lit(0))})
 
     def token(place: int) -> Column:
         t = _at(F.col("_t"), place - 1)

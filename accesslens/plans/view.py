@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from accesslens.constants import LOG_TIME_FORMAT
 from accesslens.functions import agent, net, speed
 from accesslens.operators import enrich, filters, parse
-from accesslens.schemas import BILLING, MACHINE
+from accesslens.schemas import BILLING, MACHINE, TABLES
 from accesslens.sources.dims import Dims
 
 EPOCH0 = 1704067200  # 2024-01-01 00:00:00 UTC
@@ -36,7 +36,7 @@ class LogView:
         self.spark, self.sf_dir = spark, sf_dir
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self.spark.read.schema(TABLES[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 
     # ------------------------------------------------------------- log rows
     @cached_property

@@ -21,6 +21,16 @@ EVENTS = struct(
     "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 )
 
+#: The given tables the view reads; reading by schema needs no footer scan.
+TABLES = {
+    "events": EVENTS,
+    "pages": struct("page_id bigint, url string, html string"),
+    "supplier": struct("s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double"),
+    "nation": struct("n_nationkey int, n_name string, n_regionkey int"),
+    "region": struct("r_regionkey int, r_name string"),
+    "part": struct("p_partkey bigint"),
+}
+
 #: The wide log row, in the order user SQL over ``loginfo`` expects it.
 ACCESS_LOG = struct(
     "machine string, ip bigint, isp string, prv string, domain string, url string, suffix string,"
