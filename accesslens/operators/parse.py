@@ -179,8 +179,11 @@ class _Spaced:
     def build(self, fields: Fields) -> DataFrame:
         return self.df.select(*self.base, *[c.alias(n) for n, c in fields.items()])
 
-    def once(self) -> None:
+    def judge(self, ok: Column) -> Column:
+        """Fix tokens and state; the fields are built above and pruned by need."""
+        self.stage(verdict=_state(ok, net.is_loopback(F.col("_ip_text"))))
         self.df = _once(self.df, self.base, {c: F.col(c) for c in self.df.columns if c not in self.base})
+        return F.col("_verdict")
 
 
 def _one_space_end(text: Column) -> Column:
@@ -192,8 +195,21 @@ def _wide(lines: DataFrame, kinds: tuple[str, ...], kind: Column | None = None)
     cut = _Spaced(lines, kinds, kind)
     cut.cut()
     cut.cut_wide()
-    cut.once()
     q, w, a, tail = F.col("_q"), F.col("_w"), F.col("_a"), F.col("_tail")
+    mid = _at(q, 2)
+    cut.stage(es=cut.pick(edge=_dash_to_zero(_at(w, 3)), powza=F.lit(0.0)))
+    edge_ok = _all(
+        _at(q, 0) == "",
+        F.size(q) >= 6,
+        F.size(a) == 2,
+        mid.startswith(" ") & _one_space_end(mid),
+        _at(q, 3) != "",
+        _at(q, 4) == " ",
+        F.col("_es").isNotNull(),
+    )
+    powza_ok = _all(F.size(a) == 6, _one_space_end(_at(q, 0)))
+    ok = _all(cut.basics_ok(), F.col("_ua_low") != "", cut.pick(edge=edge_ok, powza=powza_ok))
+    state = cut.judge(ok)
     edge_hit = (
         F.when(F.size(q) < 7, NO_HIT_TEXT).when(F.size(tail) == 0, "-").otherwise(_at(tail, 0))
     )
@@ -205,7 +221,7 @@ def _wide(lines: DataFrame, kinds: tuple[str, ...], kind: Column | None = None)
         "status": _at(a, 0),
         "refer": cut.pick(edge=net.refer_host(_at(q, 3)), powza=F.lit("-")),
         "ua": agent.keyword_of(F.col("_ua_low")),
-        "es": cut.pick(edge=_dash_to_zero(_at(w, 3)), powza=F.lit(0.0)),
+        "es": F.col("_es"),
         "hit": cut.pick(edge=edge_hit, powza=F.lit(NO_HIT_TEXT)),
         "dd": F.coalesce(F.when(F.size(tail) > 11, _at(tail, 10).try_cast("int")), F.lit(0)),
         "rk": _or_dash(_at(tail, 11)),
@@ -214,20 +230,9 @@ def _wide(lines: DataFrame, kinds: tuple[str, ...], kind: Column | None = None)
         "Fv": _or_dash(_at(tail, 14)),
         "platform": cut.pick(edge=net.envelope_platform(_at(w, 0)), powza=F.lit("-")),
         "node": F.coalesce(F.col("_node").cast("string"), F.lit("0")),
+        "_state": state,
+        "_raw_ip": _at(w, 2),
     }
-    edge_ok = _all(
-        _at(q, 0) == "",
-        F.size(q) >= 6,
-        F.size(a) == 2,
-        _at(q, 2).startswith(" ") & _one_space_end(_at(q, 2)),
-        _at(q, 3) != "",
-        _at(q, 4) == " ",
-        fields["es"].isNotNull(),
-    )
-    powza_ok = _all(F.size(a) == 6, _one_space_end(_at(q, 0)))
-    ok = _all(cut.basics_ok(), F.col("_ua_low") != "", cut.pick(edge=edge_ok, powza=powza_ok))
-    fields["_state"] = _state(ok, net.is_loopback(F.col("_ip_text")))
-    fields["_raw_ip"] = _at(w, 2)
     return cut.build(fields)
 
 
@@ -235,19 +240,21 @@ def _billing(lines: DataFrame, kinds: tuple[str, ...], kind: Column | None = Non
     """Billing rows: nothing after the byte count matters, but for the node."""
     cut = _Spaced(lines, kinds, kind)
     cut.cut()
-    cut.once()
     q, w, a = F.col("_q"), F.col("_w"), F.col("_a")
-    es_text = cut.pick(edge=_at(w, 3), powza=_at(a, 3), media=F.lit("0"))
-    fields = {
-        **cut.basics(),
-        "status": cut.pick(edge=_at(a, 0), powza=_at(a, 0), media=F.lit("0")),
-        "es": F.coalesce(es_text.try_cast("double"), F.lit(0.0)),
-        "node": F.coalesce("_node", F.lit(0).cast("bigint")),
-    }
     edge_ok = _all(_at(q, 0) == "", _at(q, 2).startswith(" "))
-    ok = _all(cut.basics_ok(), cut.pick(edge=edge_ok, powza=F.lit(True), media=F.lit(True)))
-    fields["_state"] = _state(ok, net.is_loopback(F.col("_ip_text")))
-    return cut.build(fields)
+    state = cut.judge(
+        _all(cut.basics_ok(), cut.pick(edge=edge_ok, powza=F.lit(True), media=F.lit(True)))
+    )
+    es_text = cut.pick(edge=_at(w, 3), powza=_at(a, 3), media=F.lit("0"))
+    return cut.build(
+        {
+            **cut.basics(),
+            "status": cut.pick(edge=_at(a, 0), powza=_at(a, 0), media=F.lit("0")),
+            "es": F.coalesce(es_text.try_cast("double"), F.lit(0.0)),
+            "node": F.coalesce("_node", F.lit(0).cast("bigint")),
+            "_state": state,
+        }
+    )
 
 
 def _machine_cut(lines: DataFrame) -> DataFrame:
