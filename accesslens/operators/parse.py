@@ -622,7 +622,7 @@ def trim_request_host(lines: DataFrame) -> DataFrame:
     """Cut ``scheme://host`` out of the request of a ``#_#`` line.
 
     Lines without ``]#_#`` are dropped; a request without ``://`` is unchanged;
-    a URL without a path is dropped.
+    one with no ``/`` after the host is dropped.
     """
     head, request, rest = (
         F.regexp_extract("value", r"^(.*?\]#_#)(.*?)(#_#.*)$", i) for i in (1, 2, 3)
