@@ -69,7 +69,8 @@ def day_hour_label(sec: Column) -> Column:
 
 
 def is_late(arrival_sec: Column, sec: Column, allowance: int = LATE_SECONDS) -> Column:
-    return arrival_sec > sec + allowance
+    """A row of unknown arrival is on time."""
+    return F.coalesce(arrival_sec > sec + allowance, F.lit(False))
 
 
 def lt_seconds(lt: Column) -> Column:

@@ -18,6 +18,12 @@ from accesslens.functions import agent, net
 BLOCK_BITS = 16
 
 
+def _with(joined: DataFrame, df: DataFrame, outs: dict[str, Column]) -> DataFrame:
+    """The columns of ``df``, with ``outs`` added or put in place; lookup columns go."""
+    kept = [F.col(c) for c in df.columns if c not in outs]
+    return joined.select(*kept, *[c.alias(n) for n, c in outs.items()])
+
+
 def map_domain(df: DataFrame, domains: DataFrame, host: str = "host") -> DataFrame:
     """Add ``domain`` and ``userid``: exact name, else wildcard parent, else null."""
     exact = domains.filter(~F.col("wildcard")).select(
@@ -26,18 +32,12 @@ def map_domain(df: DataFrame, domains: DataFrame, host: str = "host") -> DataFra
     wild = domains.filter("wildcard").select(
         F.col("name").alias("_wild"), F.col("userid").alias("_wild_user")
     )
-    joined = (
-        df.withColumn("_parent", net.parent_domain(F.col(host)))
-        .join(exact, F.col(host) == F.col("_exact"), "left")
-        .join(wild, F.col("_parent") == F.col("_wild"), "left")
-    )
-    domain = F.coalesce(
-        F.col("_exact"), F.concat(F.lit(WILDCARD_PREFIX), F.col("_wild"))
+    joined = df.join(exact, F.col(host) == F.col("_exact"), "left").join(
+        wild, net.parent_domain(F.col(host)) == F.col("_wild"), "left"
     )
+    domain = F.coalesce(F.col("_exact"), F.concat(F.lit(WILDCARD_PREFIX), F.col("_wild")))
     userid = F.when(F.col("_exact").isNotNull(), F.col("_exact_user")).otherwise(F.col("_wild_user"))
-    return joined.withColumns({"domain": domain, "userid": userid}).drop(
-        "_parent", "_exact", "_exact_user", "_wild", "_wild_user"
-    )
+    return _with(joined, df, {"domain": domain, "userid": userid})
 
 
 def domain_owner(df: DataFrame, domains: DataFrame, domain: str = "domain") -> DataFrame:
@@ -51,11 +51,8 @@ def domain_owner(df: DataFrame, domains: DataFrame, domain: str = "domain") -> D
     )
     # an exact row may itself be named ext.*; it wins over the wildcard
     owners = names.groupBy("_name").agg(F.min_by("_user", "_w").alias("_user"))
-    return (
-        df.join(owners, F.col(domain) == F.col("_name"), "left")
-        .withColumn("userid", F.coalesce("_user", F.lit("")))
-        .drop("_name", "_user")
-    )
+    joined = df.join(owners, F.col(domain) == F.col("_name"), "left")
+    return _with(joined, df, {"userid": F.coalesce("_user", F.lit(""))})
 
 
 def range_blocks(ranges: DataFrame) -> DataFrame:
@@ -88,16 +85,12 @@ def with_range(
         & (F.col(ip) <= F.col("_hi"))
     )
     outs = {o: F.coalesce(F.col(f"_v_{o}"), defaults[o]) for o in columns.values()}
-    return (
-        df.join(dim, cond, "left")
-        .withColumns(outs)
-        .drop("_block", "_lo", "_hi", *[f"_v_{o}" for o in columns.values()])
-    )
+    return _with(df.join(dim, cond, "left"), df, outs)
 
 
 def with_code(df: DataFrame, ranges: DataFrame, out: str, ip: str = "ip") -> DataFrame:
     """Address to code as text; ``0`` when no range covers it."""
-    coded = ranges.withColumn("code", F.col("code").cast("string"))
+    coded = ranges.select("lo", "hi", F.col("code").cast("string").alias("code"))
     return with_range(df, coded, ip, {"code": out}, {out: F.lit("0")})
 
 
@@ -123,11 +116,8 @@ def with_area(
     dim = area.select(
         F.col("area_id").alias("_area"), F.col("area_pid").alias("_pid"), F.col("area_cid").alias("_cid")
     )
-    return (
-        df.join(dim, F.col(code) == F.col("_area"), "left")
-        .withColumns({pid: F.coalesce("_pid", F.lit("0")), cid: F.coalesce("_cid", F.lit("0"))})
-        .drop("_area", "_pid", "_cid")
-    )
+    joined = df.join(dim, F.col(code) == F.col("_area"), "left")
+    return _with(joined, df, {pid: F.coalesce("_pid", F.lit("0")), cid: F.coalesce("_cid", F.lit("0"))})
 
 
 MACHINE_TEXT = ["machine_isp", "machine_prv", "platform", "machine_ip"]
@@ -140,11 +130,7 @@ def with_machine(df: DataFrame, machines: DataFrame, host: str = "machine") -> D
     dim = machines.select(F.col("host").alias("_host"), *[F.col(c).alias(f"_{c}") for c in names])
     outs = {c: F.coalesce(F.col(f"_{c}"), F.lit("-")) for c in MACHINE_TEXT}
     outs |= {c: F.coalesce(F.col(f"_{c}"), F.lit(0)) for c in MACHINE_CODES}
-    return (
-        df.join(dim, F.col(host) == F.col("_host"), "left")
-        .withColumns(outs)
-        .drop("_host", *[f"_{c}" for c in names])
-    )
+    return _with(df.join(dim, F.col(host) == F.col("_host"), "left"), df, outs)
 
 
 def flag_parent(
@@ -152,11 +138,8 @@ def flag_parent(
 ) -> DataFrame:
     """Whether the upstream address is a parent cache."""
     dim = parents.select(F.col("ip").alias("_parent_ip"))
-    return (
-        df.join(dim, F.col(up) == F.col("_parent_ip"), "left")
-        .withColumn(out, F.col("_parent_ip").isNotNull())
-        .drop("_parent_ip")
-    )
+    joined = df.join(dim, F.col(up) == F.col("_parent_ip"), "left")
+    return _with(joined, df, {out: F.col("_parent_ip").isNotNull()})
 
 
 def client_host_isp(df: DataFrame, named: DataFrame, client: str = "ip", host: str = "host_ip") -> DataFrame:

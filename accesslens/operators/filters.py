@@ -20,7 +20,7 @@ def keep(df: DataFrame, predicate: Predicate) -> DataFrame:
 def keep_listed(df: DataFrame, key: Column, listed: DataFrame, column: str) -> DataFrame:
     """Left semi join with a one-column list."""
     names = listed.select(F.col(column).alias("_listed"))
-    return df.withColumn("_key", key).join(names, F.col("_key") == F.col("_listed"), "left_semi").drop("_key")
+    return df.join(names, key == F.col("_listed"), "left_semi")
 
 
 def hash_line_domain(value: Column) -> Column:

@@ -47,21 +47,22 @@ def _pick(counts: DataFrame, keys: list[str], order: str) -> DataFrame:
 def counted(df: DataFrame, keys: list[str], value: str, sums: list[str] | None = None) -> DataFrame:
     """Rows per (keys, value), plus optional sums carried along.
 
-    The frame is used several times.  Its filter names every sum, so each use
-    asks for the same columns and Spark reuses the one shuffle behind it.
+    The frame is used several times.  Its filters name all keys and sums, so each
+    use asks for the same rows and columns and Spark reuses the shuffle behind it.
     """
     sums = sums or []
     pos = _scaled(F.col(value))
-    rows = (
-        df.dropna(subset=[*keys, value])
-        .groupBy(*keys, value)
-        .agg(F.count(F.lit(1)).alias("_n"), *[F.sum(n).alias(n) for n in sums])
+    for name in [*keys, value]:
+        df = df.filter(F.col(name).isNotNull())
+    rows = df.groupBy(*keys, value).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.sum(n).alias(n) for n in sums]
     )
     for name in sums:
         rows = rows.filter(F.col(name).isNotNull())
-    return rows.withColumn("_coarse", F.floor(pos)).withColumn(
-        "_fine", F.floor((pos - F.floor(pos)) * FINE)
-    )
+    # never null, so that no join adds a null test below the shuffle
+    coarse = F.coalesce(F.floor(pos), F.lit(0).cast("bigint"))
+    fine = F.coalesce(F.floor((pos - F.floor(pos)) * FINE), F.lit(0).cast("bigint"))
+    return rows.withColumns({"_coarse": coarse, "_fine": fine})
 
 
 def _middle(values: DataFrame, keys: list[str], value: str) -> DataFrame:

@@ -304,24 +304,22 @@ def ua_traffic(rows: DataFrame) -> DataFrame:
     return traffic(rows, ["domain", "ua", "userid"], F.col("ts_sec"))
 
 
-def _bucket_counts() -> list[Column]:
-    """Ten columns decoded from ``i:n,i:n``; bad entries are ignored, a later
-    entry for the same bucket wins."""
+def _good_entries() -> Column:
+    """``i:n,i:n`` as an array of pairs; bad entries are ignored."""
     entries = F.transform(F.split("speed_interval", ","), lambda e: F.split(e, ":"))
-    good = F.filter(
+    return F.filter(
         entries,
         lambda e: F.get(e, F.lit(0)).try_cast("int").between(0, 9)
         & F.get(e, F.lit(1)).try_cast("bigint").isNotNull(),
     )
 
-    def count_of(i: int) -> Column:
-        mine = F.filter(good, lambda e: F.get(e, F.lit(0)).try_cast("int") == i)
-        found = F.get(F.get(F.reverse(mine), F.lit(0)), F.lit(1))
-        decoded = F.coalesce(found.try_cast("bigint"), F.lit(0).cast("bigint"))
-        derived = F.when(speed.speed_bucket(F.col("speed")) == i, 1).otherwise(0).cast("bigint")
-        return F.when(F.col("speed_interval").contains(":"), decoded).otherwise(derived)
 
-    return [count_of(i) for i in range(10)]
+def _bucket_count(i: int) -> Column:
+    """The last entry of bucket ``i``; without text the row's own bucket."""
+    mine = F.filter("_entries", lambda e: F.get(e, F.lit(0)).try_cast("int") == i)
+    found = F.get(F.get(F.reverse(mine), F.lit(0)), F.lit(1)).try_cast("bigint")
+    own = F.when(speed.speed_bucket(F.col("speed")) == i, 1).otherwise(0).cast("bigint")
+    return F.when(F.col("speed_interval").contains(":"), F.coalesce(found, F.lit(0).cast("bigint"))).otherwise(own)
 
 
 def speed_histogram(rows: DataFrame) -> DataFrame:
@@ -330,7 +328,9 @@ def speed_histogram(rows: DataFrame) -> DataFrame:
     A row's buckets come from its ``speed_interval`` text; where that is absent
     the row counts once, in the bucket of its own speed.
     """
-    wide = rows.withColumns({f"speed{i}": c for i, c in enumerate(_bucket_counts())})
+    wide = rows.withColumn("_entries", _good_entries()).withColumns(
+        {f"speed{i}": _bucket_count(i) for i in range(10)}
+    )
     measures = [F.sum("cs").alias("flow_size"), F.sum("req_num").alias("req_count")]
     measures += [F.sum(f"speed{i}").alias(f"speed{i}") for i in range(10)]
     return traffic(wide, ["domain", "userid"], _five(), measures)

@@ -138,7 +138,7 @@ def sink_catalog_partitions(v):
     table = "rows_" + path.rsplit("-", 1)[1]
     parts = ", ".join(f"{p} string" for p in sinks.MINUTE_PARTITIONS)
     schema = f"event_id bigint, domain string, cs bigint, {parts}"
-    sinks.register_partitions(v.spark, table, path, schema, sinks.MINUTE_PARTITIONS)
+    sinks.register_table(v.spark, table, path, schema, sinks.MINUTE_PARTITIONS)
     return v.spark.table(table).select("event_id", "domain", "cs")
 
 

@@ -85,7 +85,7 @@ class LogView:
             (sec + (F.col("event_id") * 13) % 1200).alias("arrival_sec"),
         )
 
-    @property
+    @cached_property
     def page_hosts(self) -> DataFrame:
         url = F.col("url")
         return self.table("pages").select(
@@ -103,13 +103,13 @@ class LogView:
         return df
 
     # ----------------------------------------------------------- dimensions
-    @property
+    @cached_property
     def hosts(self) -> DataFrame:
         pages = self.page_hosts.groupBy("host").agg(F.min("page_id").alias("p"))
         dots = F.length("host") - F.length(F.replace(F.col("host"), F.lit("."), F.lit("")))
         return pages.withColumn("dots", dots)
 
-    @property
+    @cached_property
     def domains(self) -> DataFrame:
         user = (F.col("p") % 20).cast("string").alias("userid")
         exact = self.hosts.filter("p % 2 = 0").select(F.col("host").alias("name"), F.lit(False).alias("wildcard"), user)
@@ -121,7 +121,7 @@ class LogView:
         )
         return exact.unionByName(wild)
 
-    @property
+    @cached_property
     def ranges(self) -> DataFrame:
         n = F.col("n_nationkey").cast("bigint")
         lo = F.lit(IP_BASE) + n * RANGE_STEP
@@ -129,15 +129,15 @@ class LogView:
             lo.alias("lo"), (lo + RANGE_WIDTH).alias("hi"), "n_nationkey", "n_name", "n_regionkey"
         )
 
-    @property
+    @cached_property
     def isp_ranges(self) -> DataFrame:
         return self.ranges.select("lo", "hi", (F.lit(11) + F.col("n_nationkey") % 9).cast("int").alias("code"))
 
-    @property
+    @cached_property
     def prv_ranges(self) -> DataFrame:
         return self.ranges.select("lo", "hi", F.col("n_nationkey").alias("code"))
 
-    @property
+    @cached_property
     def named_ranges(self) -> DataFrame:
         isp = (F.lit(11) + F.col("n_nationkey") % 9).cast("int")
         return self.ranges.select(
@@ -149,7 +149,7 @@ class LogView:
             F.col("n_name").alias("prv_name"),
         )
 
-    @property
+    @cached_property
     def area(self) -> DataFrame:
         return self.table("nation").filter("n_nationkey % 7 <> 6").select(
             F.col("n_nationkey").cast("string").alias("area_id"),
@@ -157,7 +157,7 @@ class LogView:
             F.lit("10").alias("area_cid"),
         )
 
-    @property
+    @cached_property
     def machines(self) -> DataFrame:
         s, n, r = self.table("supplier"), self.table("nation"), self.table("region")
         joined = s.join(n, F.col("s_nationkey") == F.col("n_nationkey")).join(
@@ -174,7 +174,7 @@ class LogView:
             F.col("s_suppkey").cast("int").alias("pop_id"),
         )
 
-    @property
+    @cached_property
     def parents(self) -> DataFrame:
         """10.0.0.0 to 10.0.0.9, one per region and half."""
         r = F.col("r_regionkey")
@@ -182,7 +182,7 @@ class LogView:
             F.explode(F.array(r * 2, r * 2 + 1)).alias("i")
         ).select(F.concat(F.lit("10.0.0."), F.col("i").cast("string")).alias("ip"))
 
-    @property
+    @cached_property
     def dims(self) -> Dims:
         return Dims(
             domains=self.domains,

@@ -19,7 +19,6 @@ def kafka_options(brokers: str, topics: str, max_per_trigger: int | None = None)
         "kafka.bootstrap.servers": brokers,
         "subscribe": topics,
         "startingOffsets": "latest",
-        "failOnDataLoss": "false",
     }
     if max_per_trigger:
         options["maxOffsetsPerTrigger"] = str(max_per_trigger)

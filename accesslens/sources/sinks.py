@@ -34,8 +34,8 @@ def write_rows(
     _rebalanced(labelled, *by).write.mode(mode).partitionBy(*by).parquet(path)
 
 
-def register_partitions(spark: SparkSession, table: str, path: str, schema: str, by: tuple[str, ...]) -> None:
-    """Make new partition folders visible in the table catalog."""
+def register_table(spark: SparkSession, table: str, path: str, schema: str, by: tuple[str, ...]) -> None:
+    """Table over partition folders, with the partitions that exist already."""
     keys = ", ".join(by)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({schema}) USING parquet PARTITIONED BY ({keys}) LOCATION '{path}'"
@@ -43,6 +43,15 @@ def register_partitions(spark: SparkSession, table: str, path: str, schema: str,
     spark.sql(f"MSCK REPAIR TABLE {table}")
 
 
+def add_partition(spark: SparkSession, table: str, **values: str) -> None:
+    """Make one new partition visible; known ones are left alone.
+
+    Costs the same however many partitions the table has.
+    """
+    spec = ", ".join(f"{k} = '{v}'" for k, v in values.items())
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec})")
+
+
 def write_lines(lines: DataFrame, path: str, label_sec: Column, mode: str = "append") -> None:
     """Text lines under year / month / day / hour / minute folders."""
     ts = F.timestamp_seconds(label_sec)

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_local_root: str | None = None
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -16,14 +17,15 @@ def shared_root(spark: SparkSession) -> str:
     A local folder is good for ``local[*]`` alone, so without a named folder any
     other master is refused.
     """
+    global _local_root
     named = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-    made = tempfile.mkdtemp(prefix="run-accesslens-")
-    spark.conf.set(CHECKPOINT_DIR, made)
-    return made
+    if _local_root is None:
+        _local_root = tempfile.mkdtemp(prefix="run-accesslens-")
+    return _local_root
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -114,3 +114,23 @@ def test_kafka_options_and_records(spark):
     assert options["subscribe"] == "t1,t2" and options["maxOffsetsPerTrigger"] == "80000"
     rows = sinks.kafka_records(spark.createDataFrame([("x",)] * 50, "value string")).collect()
     assert len({r.key for r in rows}) > 1 and all(str(int(r.key)) == r.key for r in rows)
+
+
+def test_new_partitions_become_visible_one_by_one(spark, folder):
+    def put(minute):
+        df = spark.createDataFrame([(minute,)], "ts_sec bigint")
+        sinks.write_rows(df, f"{folder}/t", F.col("ts_sec"))
+
+    put(0)
+    table = "rows_one_by_one"
+    sinks.register_table(spark, table, f"{folder}/t", "ts_sec bigint, month_ string, day_ string, hour_ string, minute_ string", sinks.MINUTE_PARTITIONS)
+    put(3660)
+    assert spark.table(table).count() == 1
+    for _ in range(2):
+        sinks.add_partition(spark, table, month_="197001", day_="01", hour_="01", minute_="01")
+    assert sorted(r.ts_sec for r in spark.table(table).collect()) == [0, 3660]
+
+
+def test_a_row_of_unknown_arrival_is_on_time(spark):
+    df = spark.createDataFrame([(1, None), (1, 602), (1, 601)], "ts_sec bigint, arrival_sec bigint")
+    assert filters.on_time(df).count() == 2 and filters.late(df).count() == 1
