@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from accesslens.constants import SUFFIXES_BASE, SUFFIXES_EDGE, UA_KEYWORDS, UA_MOBILE, UA_PC, UA_TV
+
 PARTS: dict[str, tuple[str, str]] = {}  # name -> (tables it reads, body)
 
 
@@ -67,12 +69,12 @@ def stamp(t: str, fmt: str = "%Y%m%d%H%M%S") -> str:
     return f"strftime(make_timestamp(({t}) * 1000000), '{fmt}')"
 
 
-SUFFIX_BASE = (
-    "'jpg','gif','png','bmp','ico','swf','css','js','htm','html','doc','docx','pdf','ppt','txt','zip','rar',"
-    "'gz','tgz','exe','xls','cvs','xlsx','pptx','mp3','mp4','rm','mpeg','wav','m3u','wma','avi','mov','av',"
-    "'flv','f4v','hlv','f4fmp4','f4fmp3','ts','dv','fhv','xml','apk','vxes','ipa','deb'"
-)
-SUFFIX_EDGE = f"'m3u8',{SUFFIX_BASE},'jpeg'"
+def quoted(words: list[str]) -> str:
+    return ", ".join(f"'{w}'" for w in words)
+
+
+SUFFIX_BASE = quoted(SUFFIXES_BASE)
+SUFFIX_EDGE = quoted(SUFFIXES_EDGE)
 
 
 def suffix(p: str, words: str = SUFFIX_EDGE) -> str:
@@ -81,17 +83,16 @@ def suffix(p: str, words: str = SUFFIX_EDGE) -> str:
 
 
 def ua_keyword(ua: str) -> str:
-    words = ["android", "iphone", "ipad", "letv", "miui", "firefox", "chrome", "linux", "windows"]
-    cases = " ".join(f"WHEN contains(lower({ua}), '{w}') THEN '{w}'" for w in words)
+    cases = " ".join(f"WHEN contains(lower({ua}), '{w}') THEN '{w}'" for w in UA_KEYWORDS)
     return f"CASE {cases} ELSE 'other' END"
 
 
 def ua_device(ua: str) -> str:
     low = f"lower({ua})"
     return (
-        f"CASE WHEN regexp_matches({low}, 'inphic|miui|letv|diyomate') THEN 'tv' "
-        f"WHEN regexp_matches({low}, 'android|iphone|ipad') THEN 'mobile' "
-        f"WHEN regexp_matches({low}, 'windows nt|linux|msie|firefox|chrome') THEN 'pc' ELSE 'other' END"
+        f"CASE WHEN regexp_matches({low}, '{'|'.join(UA_TV)}') THEN 'tv' "
+        f"WHEN regexp_matches({low}, '{'|'.join(UA_MOBILE)}') THEN 'mobile' "
+        f"WHEN regexp_matches({low}, '{'|'.join(UA_PC)}') THEN 'pc' ELSE 'other' END"
     )
 
 

@@ -34,8 +34,13 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 
 
 def write_once(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> str:
-    """Write a table to a fresh path and return the path."""
+    """Write a table to a fresh path and return the path.
+
+    Partitioned tables are rebalanced first: few large files per value.
+    """
     path = fresh_path(df.sparkSession, name)
-    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
-    writer.parquet(path)
+    if partition_by:
+        df.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.parquet(path)
     return path
