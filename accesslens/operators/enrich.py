@@ -3,6 +3,7 @@
 No lookup forces a broadcast.  The planner broadcasts a dimension while its
 size stays under ``spark.sql.autoBroadcastJoinThreshold`` and AQE re-checks the
 measured size; a larger one becomes a shuffled join, whose hot keys AQE splits.
+A job that counts its dimensions first (``Dims.measured``) decides by the count.
 Range tables are exploded to address blocks first, so the range lookup is an
 equi join in both cases.  All lookups are left joins on unique keys: they never
 change the number of rows.

@@ -7,17 +7,38 @@ multiply fact rows.  Nothing here is collected to the driver.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from accesslens.constants import DIR_SCHEMA_KEYS, WILDCARD_PREFIX, WILDCARD_TYPE
 
 
+BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark a dimension for broadcast after counting it; larger ones stay as they are.
+
+    The count stops one row past the bound.  A marked table may exceed the
+    planner's byte threshold, which keeps log rows from being shuffled for it;
+    an unmarked one is left to the planner, which joins it by shuffle.
+    """
+    small = dim.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(dim) if small else dim
+
+
 @dataclass(frozen=True)
 class Dims:
     """The lookups one job needs; each is a small table, read where it is used."""
 
+    def measured(self, max_rows: int = BROADCAST_ROWS) -> Dims:
+        """The same lookups, each marked for broadcast if its count allows it."""
+        given = {f.name: getattr(self, f.name) for f in fields(self)}
+        return replace(
+            self, **{n: broadcast_if_small(d, max_rows) for n, d in given.items() if d is not None}
+        )
+
     domains: DataFrame | None = None
     isp: DataFrame | None = None
     prv: DataFrame | None = None

@@ -96,3 +96,17 @@ def test_line_filters(spark):
     assert filters.lines_of_url_domains(urls, listed).count() == 1
     assert filters.lines_of_fixed_domains(urls, ["b.com"]).count() == 1
     assert filters.keep(urls, lambda d: F.length(d["value"]) == 16).count() == 1
+
+
+def test_dimensions_are_broadcast_only_within_the_counted_bound(spark, dims):
+    df = spark.createDataFrame([("img.example.com", 16777300)], "host string, ip bigint")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for bound, joins in ((10, "BroadcastHashJoin"), (1, "SortMergeJoin")):
+            d = dims.measured(bound)
+            out = enrich.with_code(enrich.map_domain(df, d.domains), d.isp, "isp")
+            plan = out._jdf.queryExecution().executedPlan().toString()
+            assert plan.count(joins) == 3
+            assert [(r.domain, r.isp) for r in out.collect()] == [("img.example.com", "11")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
