@@ -407,3 +407,19 @@ def batch_counts(v):
     write = lambda b, i: b.write.mode("overwrite").parquet(jobs.batch_folder(path, "data", i))
     finished(jobs.count_batches(event_stream(v), write, path, f"{path}/checkpoint"))
     return v.spark.read.parquet(f"{path}/counts").agg(F.sum("records").alias("records"))
+
+
+@register(
+    "stream_final_traffic",
+    sql(
+        "owned",
+        f"""SELECT domain, userid, {five('ts_sec')} AS timestamp, {FLOW_SQL} FROM owned GROUP BY 1, 2, 3
+        HAVING {five('ts_sec')} <= (SELECT max(ts_sec) - 600 FROM owned)""",
+    ),
+)
+def stream_final_traffic(v):
+    """Final rows of the windows the watermark has passed; later ones are still open."""
+    path = staging.fresh_path(v.spark, "final")
+    own = filters.known_domain(enrich.map_domain(v.log(events=event_stream(v)), v.domains))
+    finished(jobs.append_final(jobs.final_traffic(own, ["domain", "userid"]), f"{path}/rows", f"{path}/checkpoint"))
+    return v.spark.read.parquet(f"{path}/rows")
