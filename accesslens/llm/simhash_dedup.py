@@ -264,5 +264,21 @@ def op5_simhash_dedup(spark, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex16(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def _repeats(docs: DataFrame) -> bool:
+    """Whether a doc_id occurs on several rows."""
+    return not docs.groupBy("doc_id").count().where("count > 1").isEmpty()
+
+
+def dedup_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component stays: the one whose doc_id names it, once.
+
+    Rows with a null doc_id stay if no document has their fingerprint.
+    """
+    found = near_duplicates(docs).where("doc_id = component_id or component_id is null")
+    keep = found.select(F.col("doc_id").alias("_kept")).distinct()
+    kept = docs.join(keep, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    return kept.dropDuplicates(["doc_id"]) if _repeats(docs) else kept
+
+
 QUERIES = {"op5_simhash_dedup": op5_simhash_dedup}
 ORACLE: dict[str, str] = {}
