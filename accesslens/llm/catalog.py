@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("simhash_dedup",)
+MODULES = ("mixing", "sharding", "simhash_dedup", "secret_ledger")
 
 
 def _merged(name: str) -> dict:

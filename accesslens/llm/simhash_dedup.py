@@ -277,7 +277,7 @@ def dedup_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = near_duplicates(docs).where("doc_id = component_id or component_id is null")
     keep = found.select(F.col("doc_id").alias("_kept")).distinct()
     kept = docs.join(keep, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-    return kept.dropDuplicates(["doc_id"]) if _repeats(docs) else kept
+    return kept.dropDuplicates(["doc_id", "text"]) if _repeats(docs) else kept
 
 
 QUERIES = {"op5_simhash_dedup": op5_simhash_dedup}
