@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("mixing", "sharding", "simhash_dedup", "secret_ledger")
+MODULES = ("mixing", "sharding", "simhash_dedup", "secret_ledger", "column_bwt")
 
 
 def _merged(name: str) -> dict:
