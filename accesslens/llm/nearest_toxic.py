@@ -12,9 +12,9 @@ probabilities.
 
 from __future__ import annotations
 
-import heapq
 import math
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,6 +32,8 @@ EXAMPLES = 8000
 MAX_TERMS = 20_000
 MIN_RATIO = 16.0
 MIN_DOCS = 5
+#: Toxic share of the examples with a term, below which it is no evidence.
+MIN_SHARE = 0.5
 NEIGHBOURS = 15
 BLOCK = 64
 #: Neighbours and terms named as evidence.
@@ -41,24 +43,31 @@ _WORD = re.compile(r"\w+")
 _CUT = re.compile(r"\W")
 
 
-def term_counts(text: str | None) -> tuple[Counter, int]:
-    """Terms with their counts, and the number of words; long texts are read in pieces cut between words."""
+def words_of(text: str | None) -> list[str]:
+    """Lower-case words; long texts are read in pieces cut between words."""
     text = text or ""
-    words: Counter = Counter()
+    if len(text) <= _PIECE:
+        return _WORD.findall(text.lower())
+    words: list[str] = []
     lo = 0
     while lo < len(text):
-        hi = len(text)
-        if hi - lo > _PIECE and (m := _CUT.search(text, lo + _PIECE)):
-            hi = m.start()
-        words.update(_WORD.findall(text[lo:hi].lower()))
+        m = _CUT.search(text, lo + _PIECE)
+        hi = m.start() if m else len(text)
+        words += map(sys.intern, _WORD.findall(text[lo:hi].lower()))
         lo = hi
-    terms = Counter(words)
-    for w, n in words.items():
+    return words
+
+
+def term_counts(words: list[str]) -> Counter:
+    """Words and the beginnings of longer ones, with their counts."""
+    counts = Counter(words)
+    terms = Counter(counts)
+    for w, n in counts.items():
         if len(w) >= 6:
             terms["^" + w[:5]] += n
             if len(w) >= 7:
                 terms["^" + w[:6]] += n
-    return terms, words.total()
+    return terms
 
 
 def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -66,9 +75,9 @@ def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         rows: list[tuple] = []
         for doc, toxic, text in zip(*(b.column(i).to_pylist() for i in range(3))):
-            terms, n = term_counts(text)
-            rows.append((doc, toxic, "#", n))
-            rows.extend((doc, toxic, t, c) for t, c in terms.items())
+            words = words_of(text)
+            rows.append((doc, toxic, "#", len(words)))
+            rows.extend((doc, toxic, t, c) for t, c in term_counts(words).items())
         names = ["example", "toxic", "term", "count"]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.string(), pa.int64()))], names=names)
 
@@ -105,6 +114,11 @@ class Index:
     def blocks(self) -> int:
         return -(-len(self.ids) // BLOCK)
 
+    def hits(self, words: list[str]) -> list[str]:
+        """The words that are vocabulary terms or begin with one."""
+        known = {w for w in set(words) if w in self.terms or len(w) >= 6 and ("^" + w[:5] in self.terms or "^" + w[:6] in self.terms)}
+        return [w for w in words if w in known] if known else []
+
     def vector(self, terms: Counter, words: int) -> tuple[np.ndarray, np.ndarray, float] | None:
         """Terms, unit weights and the weight of the other words; None without a vocabulary term."""
         hits = [(self.terms[t], c) for t, c in terms.items() if t in self.terms]
@@ -116,28 +130,39 @@ class Index:
         return t, w / norm, math.sqrt(words) / norm
 
     def nearest(self, vector, k: int = NEIGHBOURS, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and cosines of the k nearest examples, ties to the smaller row; exact."""
+        """Rows and cosines of the k nearest examples, ties to the smaller row; exact.
+
+        Blocks are scored in rounds from the highest bound down; each round has twice as many.
+        """
         t, w, rest = vector
         bounds = w @ self.bound[t] + rest * self.bound[-1]
-        best: list[tuple[float, int]] = []  # smallest (cosine, -row) first
-        for b in np.argsort(-bounds, kind="stable"):
-            if len(best) == k and bounds[b] < best[0][0] - 1e-12:
-                break
-            lo = b * BLOCK
-            got = rest * self.rest[lo : lo + BLOCK]
-            at = t * self.blocks + b
-            for x, s, e in zip(w, self.start[at], self.start[at + 1]):
-                got[self.row[s:e] - lo] += x * self.weight[s:e]
-            floor = best[0][0] if len(best) == k else -1.0
-            for i in np.flatnonzero(got >= floor):
-                if lo + i != without:
-                    item = (float(got[i]), -(lo + int(i)))
-                    if len(best) < k:
-                        heapq.heappush(best, item)
-                    elif item > best[0]:
-                        heapq.heapreplace(best, item)
-        best.sort(reverse=True)
-        return np.array([-x[1] for x in best], dtype=np.int64), np.array([x[0] for x in best])
+        order = np.argsort(-bounds, kind="stable")
+        rows, cosines = np.empty(0, dtype=np.int64), np.empty(0)
+        at, size = 0, 2
+        while at < len(order):
+            blocks = order[at : at + size]
+            if len(rows) == k:
+                blocks = blocks[bounds[blocks] >= cosines[-1] - 1e-12]
+                if not len(blocks):
+                    break
+            more, got = self._scores(t, w, rest, blocks)
+            rows, cosines = np.concatenate([rows, more[more != without]]), np.concatenate([cosines, got[more != without]])
+            best = np.lexsort((rows, -cosines))[:k]
+            rows, cosines = rows[best], cosines[best]
+            at, size = at + size, 2 * size
+        return rows, cosines
+
+    def _scores(self, t: np.ndarray, w: np.ndarray, rest: float, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of some blocks and their cosines, from the postings of the terms there."""
+        rows = (blocks[:, None] * BLOCK + np.arange(BLOCK)).reshape(-1)
+        inside = rows < len(self.ids)
+        got = np.where(inside, rest * self.rest[np.where(inside, rows, 0)], 0)
+        cells = (t[:, None] * self.blocks + blocks).reshape(-1)
+        first, count = self.start[cells], self.start[cells + 1] - self.start[cells]
+        i = np.arange(count.sum()) + np.repeat(first - np.cumsum(count) + count, count)
+        slot = np.repeat(np.tile(np.arange(len(blocks)), len(t)), count)
+        np.add.at(got, slot * BLOCK + self.row[i] % BLOCK, self.weight[i] * np.repeat(np.repeat(w, len(blocks)), count))
+        return rows[inside], got[inside]
 
     def vote(self, rows: np.ndarray, cosines: np.ndarray) -> float:
         if not len(rows):
@@ -147,8 +172,8 @@ class Index:
 
     def score(self, text: str | None) -> tuple[float, list[int], list[str]]:
         """Probability, doc_ids of the nearest examples, and the terms found."""
-        terms, words = term_counts(text)
-        vector = self.vector(terms, words)
+        words = words_of(text)
+        vector = self.vector(term_counts(self.hits(words)), len(words))
         if vector is None:
             return self.prior, [], []
         rows, cosines = self.nearest(vector)
@@ -243,7 +268,7 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, id_col: st
     a, b = F.sum("toxic").cast("double"), F.count("*").cast("double")
     stats = found.where("term <> '#'").groupBy("term").agg(a.alias("a"), b.alias("b")).where(F.col("b") >= MIN_DOCS)
     stats = stats.withColumn("ratio", _ratio(F.col("a"), F.col("b"), n, positive))
-    chosen = stats.where((F.col("ratio") > MIN_RATIO) & (F.col("a") / F.col("b") > positive / n))
+    chosen = stats.where((F.col("ratio") > MIN_RATIO) & (F.col("a") / F.col("b") >= MIN_SHARE) & (F.col("a") / F.col("b") > positive / n))
     chosen = chosen.orderBy(F.desc("ratio"), "term").limit(MAX_TERMS).collect()
     terms = {r["term"]: (i, math.log(1 + n / r["b"])) for i, r in enumerate(chosen)}
     wanted = found.sparkSession.createDataFrame([(t,) for t in [*terms, "#"]], "term string")
