@@ -3,18 +3,19 @@
 No lookup forces a broadcast.  The planner broadcasts a dimension while its
 size stays under ``spark.sql.autoBroadcastJoinThreshold`` and AQE re-checks the
 measured size; a larger one becomes a shuffled join, whose hot keys AQE splits.
-A job that counts its dimensions first (``Dims.measured``) decides by the count.
-Range tables are exploded to address blocks first, so the range lookup is an
-equi join in both cases.  All lookups are left joins on unique keys: they never
-change the number of rows.
+A job that measures its dimensions first (``Dims.measured``) decides by their bytes.
+Range tables are cut into address pieces that cannot overlap first, so the range
+lookup is an equi join in both cases.  All lookups are left joins on unique keys or
+disjoint pieces: they never change the number of rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from accesslens.constants import WILDCARD_PREFIX
 from accesslens.functions import agent, net
+from accesslens.sources.dims import Dims, is_range
 
 BLOCK_BITS = 16
 
@@ -56,14 +57,68 @@ def domain_owner(df: DataFrame, domains: DataFrame, domain: str = "domain") -> D
     return _with(joined, df, {"userid": F.coalesce("_user", F.lit(""))})
 
 
-def range_blocks(ranges: DataFrame) -> DataFrame:
-    """One row per (range, /16 block).
+def _blocks(df: DataFrame, bits: int) -> DataFrame:
+    """Ranges cut at the borders of blocks of 2^bits addresses, with the block as ``_block``."""
+    block = F.explode(F.sequence(F.shiftright("_lo", bits), F.shiftright("_hi", bits)))
+    cut = df.withColumn("_block", block)
+    first = F.shiftleft(F.col("_block"), bits)
+    return cut.withColumns({"_lo": F.greatest("_lo", first), "_hi": F.least("_hi", first + ((1 << bits) - 1))})
 
-    IPv4 has 65,536 blocks and ranges do not overlap, so there are at most
-    65,536 rows more than ranges, however wide the ranges are.
+
+def pieces(tables: dict[str, DataFrame], fill: bool = False) -> DataFrame:
+    """Address pieces of one or more range tables ``(lo, hi, value)``: (_block, _lo, _hi, one value column per table).
+
+    Pieces never overlap, so a lookup in them finds one row at most, however many tables they join.  A
+    table whose own ranges share an address fails the job that uses it.  Impossible bounds are left
+    out.  ``fill`` adds the pieces no range covers.  Bounds are put in order per 2^24 addresses, and
+    pieces cut to blocks of 2^16 afterwards: at most 65,536 rows more than pieces.
     """
-    blocks = F.sequence(F.shiftright("lo", BLOCK_BITS), F.shiftright("hi", BLOCK_BITS))
-    return ranges.withColumn("_block", F.explode(blocks))
+    wide = 24
+    parts = []
+    kinds = [f"struct<v:{t.schema['value'].dataType.simpleString()}>" for t in tables.values()]
+    for i, ranges in enumerate(tables.values()):
+        r = ranges.filter(is_range(F.col("lo"), F.col("hi")))
+        r = _blocks(r.select(F.col("lo").cast("bigint").alias("_lo"), F.col("hi").cast("bigint").alias("_hi"), "value"), wide)
+        end = F.shiftleft(F.col("_block") + 1, wide)
+        opens = F.struct(F.col("_lo").alias("at"), F.lit(1).alias("step"), F.col("value"))
+        closes = F.struct((F.col("_hi") + 1).alias("at"), F.lit(-1).alias("step"), F.when(F.lit(False), F.col("value")).alias("value"))
+        both = F.filter(F.array(opens, closes), lambda e: e["at"] < F.col("end"))
+        events = r.withColumn("end", end).select("_block", F.explode(both).alias("e"))
+        steps = [F.col("e.step") if j == i else F.lit(0) for j in range(len(tables))]
+        named = [F.struct(F.col("e.value").alias("v")) if j == i else F.lit(None).cast(kinds[j]) for j in range(len(tables))]
+        parts.append(events.select("_block", F.col("e.at").alias("at"), *[x.cast("int").alias(f"s{j}") for j, x in enumerate(steps)], *[x.alias(f"v{j}") for j, x in enumerate(named)]))
+    events = parts[0]
+    for more in parts[1:]:
+        events = events.unionByName(more)
+    n = range(len(tables))
+    if fill:
+        every = events.sparkSession.range(1 << (32 - wide)).select(F.col("id").alias("_block"), F.shiftleft("id", wide).alias("at"))
+        events = events.unionByName(every, allowMissingColumns=True)
+    # several bounds in one place: what opens there counts
+    points = events.repartition("_block").groupBy("_block", "at").agg(
+        *[F.coalesce(F.sum(f"s{j}"), F.lit(0)).alias(f"s{j}") for j in n],
+        *[F.max_by(f"v{j}", F.when(F.col(f"v{j}").isNotNull(), F.col(f"s{j}"))).alias(f"v{j}") for j in n],
+    )
+    order = Window.partitionBy("_block").orderBy("at")
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    state = points.select(
+        "_block",
+        "at",
+        F.coalesce(F.lead("at").over(order) - 1, F.shiftleft(F.col("_block") + 1, wide) - 1).alias("_hi"),
+        F.greatest(F.lit(0), *[F.sum(f"s{j}").over(upto) for j in n]).alias("open"),
+        *[F.last(f"v{j}", ignorenulls=True).over(upto).alias(f"v{j}") for j in n],
+    )
+    lo = F.when(F.col("open") > 1, F.raise_error(F.lit("ranges of one table overlap")).cast("bigint")).otherwise(F.col("at"))
+    found = state.select(lo.alias("_lo"), "_hi", *[F.col(f"v{j}.v").alias(name) for j, name in enumerate(tables)])
+    if not fill:
+        some = F.coalesce(*[F.when(F.col(name).isNotNull(), True) for name in tables], F.lit(False))
+        found = found.filter(some)
+    return _blocks(found, BLOCK_BITS)
+
+
+def _in_piece(ip: str) -> Column:
+    at = F.col(ip)
+    return (F.shiftright(at, BLOCK_BITS) == F.col("_block")) & (F.col("_lo") <= at) & (at <= F.col("_hi"))
 
 
 def with_range(
@@ -74,19 +129,10 @@ def with_range(
     ``columns`` maps range-table columns to output names; ``defaults`` fills
     addresses no range covers.
     """
-    dim = range_blocks(ranges).select(
-        F.col("_block"),
-        F.col("lo").alias("_lo"),
-        F.col("hi").alias("_hi"),
-        *[F.col(src).alias(f"_v_{out}") for src, out in columns.items()],
-    )
-    cond = (
-        (F.shiftright(F.col(ip), BLOCK_BITS) == F.col("_block"))
-        & (F.col("_lo") <= F.col(ip))
-        & (F.col(ip) <= F.col("_hi"))
-    )
-    outs = {o: F.coalesce(F.col(f"_v_{o}"), defaults[o]) for o in columns.values()}
-    return _with(df.join(dim, cond, "left"), df, outs)
+    values = F.struct(*[F.col(src).alias(out) for src, out in columns.items()])
+    dim = pieces({"_found": ranges.select("lo", "hi", values.alias("value"))})
+    outs = {o: F.coalesce(F.col(f"_found.{o}"), defaults[o]) for o in columns.values()}
+    return _with(df.join(dim, _in_piece(ip), "left"), df, outs)
 
 
 def with_code(df: DataFrame, ranges: DataFrame, out: str, ip: str = "ip") -> DataFrame:
@@ -95,6 +141,37 @@ def with_code(df: DataFrame, ranges: DataFrame, out: str, ip: str = "ip") -> Dat
     return with_range(df, coded, ip, {"code": out}, {out: F.lit("0")})
 
 
+PLACE = ("isp", "prv", "area_pid", "area_cid")
+
+
+def place_table(isp: DataFrame, prv: DataFrame, area: DataFrame | None = None) -> DataFrame:
+    """Isp, province and area of every IPv4 address, as pieces: one lookup for all four.
+
+    Uncovered addresses have code ``0``, and its area if there is one.
+    """
+    tables = {n: r.select("lo", "hi", F.col("code").cast("string").alias("value")) for n, r in (("_isp", isp), ("_prv", prv))}
+    cut = pieces(tables, fill=True)
+    cut = cut.select("_block", "_lo", "_hi", F.coalesce("_isp", F.lit("0")).alias("_isp"), F.coalesce("_prv", F.lit("0")).alias("_prv"))
+    if area is None:
+        return cut.withColumns({"_area_pid": F.lit("0"), "_area_cid": F.lit("0")})
+    ids = area.select(F.col("area_id").alias("_prv"), F.col("area_pid").alias("_area_pid"), F.col("area_cid").alias("_area_cid"))
+    found = cut.join(ids, "_prv", "left")
+    return found.withColumns({c: F.coalesce(c, F.lit("0")) for c in ("_area_pid", "_area_cid")})
+
+
+def with_place(df: DataFrame, places: DataFrame, columns: tuple[str, ...] = ("isp", "prv"), ip: str = "ip") -> DataFrame:
+    """Add columns of ``PLACE`` for an address; ``0`` where it has none."""
+    dim = places.select("_block", "_lo", "_hi", *[f"_{c}" for c in columns])
+    outs = {c: F.coalesce(F.col(f"_{c}"), F.lit("0")) for c in columns}
+    return _with(df.join(dim, _in_piece(ip), "left"), df, outs)
+
+
+def locate(df: DataFrame, dims: Dims, columns: tuple[str, ...] = ("isp", "prv")) -> DataFrame:
+    """``with_place`` from a job's lookups."""
+    places = dims.places if dims.places is not None else place_table(dims.isp, dims.prv, dims.area)
+    return with_place(df, places, columns)
+
+
 def with_named(df: DataFrame, named: DataFrame, prefix: str, ip: str = "ip") -> DataFrame:
     """Address to isp, isp name and province name; not found is 0 / ``NULL``.
 

@@ -287,44 +287,36 @@ def _mark_unknown(parsed: DataFrame) -> DataFrame:
 def to_access(parsed: DataFrame, dims: Dims) -> DataFrame:
     """Look up owner, isp and province of a cut wide line."""
     given = _given(parsed)
-    df = enrich.map_domain(parsed, dims.domains)
-    df = enrich.with_code(df, dims.isp, "isp")
-    df = enrich.with_code(df, dims.prv, "prv")
+    df = enrich.locate(enrich.map_domain(parsed, dims.domains), dims)
     df = df.withColumn("timestmp", timing.stamp(F.col("ts_sec")))
     return df.select("value", "_state", "ts_sec", *given, *ACCESS_LOG.names)
 
 
 def to_billing(parsed: DataFrame, dims: Dims) -> DataFrame:
-    df = enrich.map_domain(parsed, dims.domains)
-    df = enrich.with_code(df, dims.isp, "isp")
-    df = enrich.with_code(df, dims.prv, "prv")
-    df = enrich.with_area(df, dims.area)
+    df = enrich.locate(enrich.map_domain(parsed, dims.domains), dims, enrich.PLACE)
     df = df.withColumns({"platform": F.lit("-"), "pop_id": F.lit(0)})
     return df.select("value", "_state", *_given(parsed), *BILLING.names)
 
 
-def machine_measures(df: DataFrame, dims: Dims) -> DataFrame:
-    """Hit type, speed and machine attributes of rows that carry
-    hit, up, fv_hit, es, cs and machine."""
-    df = enrich.with_machine(df, dims.machines)
-    df = enrich.flag_parent(df, dims.parents)
-    kbps = speed.speed_kbps(F.col("es"), F.col("cs"))
-    df = df.withColumn("speed", kbps)
+def with_speed(df: DataFrame) -> DataFrame:
+    """Speed and its zero mark, of rows that carry es and cs; no lookup."""
+    df = df.withColumn("speed", speed.speed_kbps(F.col("es"), F.col("cs")))
     return df.withColumns(
-        {
-            "hit_type": speed.hit_type(F.col("hit"), F.col("up"), F.col("fv_hit"), F.col("up_is_parent")),
-            "zero_speed": speed.zero_speed(F.col("speed")),
-            "speed_interval": F.lit("0"),
-            "req_num": F.lit(1),
-        }
+        {"zero_speed": speed.zero_speed(F.col("speed")), "speed_interval": F.lit("0"), "req_num": F.lit(1)}
     )
 
 
+def with_hit_type(df: DataFrame, parents: DataFrame) -> DataFrame:
+    """Hit type of rows that carry hit, up and fv_hit; looks up the parents."""
+    df = enrich.flag_parent(df, parents)
+    kind = speed.hit_type(F.col("hit"), F.col("up"), F.col("fv_hit"), F.col("up_is_parent"))
+    return df.withColumn("hit_type", kind)
+
+
 def to_machine(parsed: DataFrame, dims: Dims) -> DataFrame:
-    df = enrich.map_domain(parsed, dims.domains)
-    df = enrich.with_code(df, dims.isp, "isp")
-    df = enrich.with_code(df, dims.prv, "prv")
-    return machine_measures(df, dims).select("value", "_state", *_given(parsed), *MACHINE.names)
+    df = enrich.locate(enrich.map_domain(parsed, dims.domains), dims)
+    df = with_hit_type(enrich.with_machine(with_speed(df), dims.machines), dims.parents)
+    return df.select("value", "_state", *_given(parsed), *MACHINE.names)
 
 
 def edge(lines: DataFrame, dims: Dims) -> DataFrame:
@@ -448,8 +440,7 @@ def hash_v2(lines: DataFrame, dims: Dims) -> DataFrame:
     f["_state"] = F.when(ok, "ok").otherwise("reject")
     cut = df.select("value", *_given(lines), *[c.alias(n) for n, c in f.items()])
     looked_up = enrich.map_domain(cut, dims.domains)
-    looked_up = enrich.with_code(looked_up, dims.isp, "isp")
-    looked_up = enrich.with_code(looked_up, dims.prv, "prv")
+    looked_up = enrich.locate(looked_up, dims)
     secure = F.when(F.col("is_https"), F.concat(F.lit("https_"), "domain")).otherwise(F.col("domain"))
     return looked_up.withColumns(
         {"timestmp": timing.stamp(F.col("ts_sec")), "domain": secure}
@@ -484,18 +475,31 @@ def hash_dir(lines: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------------- JSON lines
+#: A number's key with quoted text behind it.
+QUOTED_NUMBER = r'"(?:es|value|Fs|cs|lt)"\s*:\s*"'
+
+
 def _json_rows(lines: DataFrame, strict: bool) -> DataFrame:
+    """Fields of a line; an absent number is 0, one that is no number of its kind rejects the line.
+
+    The strict form reads whole numbers through doubles, so it takes ``5.0`` and cuts ``5.7``.
+    """
     df = _once(lines, lines.columns, {"_j": F.from_json("value", JSON_LINE)})
     j = {c: F.col(f"_j.{c}") for c in JSON_LINE.names if c != "tl"} | {"tl": F.col("_j.tl.value")}
-    given = _all(*[c.isNotNull() for c in j.values()]) if strict else F.lit(True)
+    doubles = {c: j[c].try_cast("double") for c in ("es", "tl", "lt")}
+    if strict:
+        whole = {c: j[c].try_cast("double").cast("bigint") for c in ("cs", "Fs")}
+        given = _all(*[c.isNotNull() for c in j.values()])
+    else:
+        whole = {"cs": j["cs"].try_cast("bigint")}
+        given = F.lit(True)
+    numbers = doubles | whole
+    right = _all(*[j[c].isNull() | x.isNotNull() for c, x in numbers.items()], ~F.col("value").rlike(QUOTED_NUMBER))
+    j |= {c: F.coalesce(x, F.lit(0.0)) for c, x in doubles.items()}
+    j |= {c: F.coalesce(x, F.lit(0).cast("bigint")) for c, x in whole.items()}
     if not strict:
-        texts = ("rm", "st", "hostname", "ru", "ua", "rv", "rf", "a")
-        j |= {c: F.coalesce(j[c], F.lit("")) for c in texts}
-        j |= {c: F.coalesce(j[c], F.lit(0.0)) for c in ("es", "tl")}
-        j |= {c: F.coalesce(j[c], F.lit(0).cast("bigint")) for c in ("cs",)}
-        j["lt"] = F.coalesce(j["lt"], F.lit(0.0))
-        j["Fs"] = F.coalesce(j["Fs"].cast("string"), F.lit(""))
-    ok = _all(given, F.col("_j").isNotNull(), net.ip_to_long(j["a"]).isNotNull())
+        j |= {c: F.coalesce(j[c], F.lit("")) for c in ("rm", "st", "hostname", "ru", "ua", "rv", "rf", "a", "Fs")}
+    ok = _all(given, right, F.col("_j").isNotNull(), net.ip_to_long(j["a"]).isNotNull())
     failed = F.col("value").contains(JSON_FAILURE_MARK)
     return df.select(
         "value",
@@ -514,9 +518,7 @@ def _json_rows(lines: DataFrame, strict: bool) -> DataFrame:
 
 
 def _json(lines: DataFrame, dims: Dims, strict: bool) -> DataFrame:
-    df = enrich.map_domain(_json_rows(lines, strict), dims.domains)
-    df = enrich.with_code(df, dims.isp, "isp")
-    df = enrich.with_code(df, dims.prv, "prv")
+    df = enrich.locate(enrich.map_domain(_json_rows(lines, strict), dims.domains), dims)
     df = df.withColumn("timestamp", timing.stamp(F.col("timestampLong")))
     return df.select("value", "_state", *_given(lines), *JSON_LOG.names)
 

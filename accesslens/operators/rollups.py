@@ -379,6 +379,9 @@ def pno_traffic_5m(stored: DataFrame, start_sec: int, write_time: str) -> DataFr
     """
     label = timing.five_label(F.col("timestamp"))
     near = F.abs(label - start_sec) < STORED_MINUTE_REACH
+    if "hour" in stored.columns:  # the partitions of stored roll-ups: only those in reach are listed and read
+        first, last = (timing.day_hour_label(F.lit(start_sec + r).cast("bigint")) for r in (-STORED_MINUTE_REACH, STORED_MINUTE_REACH))
+        near = near & F.col("hour").cast("string").between(first, last)
     return (
         stored.filter(near)
         .groupBy("domain", "pno", label.alias("timestamp"))

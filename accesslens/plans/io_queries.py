@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from accesslens.constants import STORED_MINUTE_REACH
 from accesslens.functions import agent, net, timing
 from accesslens.operators import enrich, filters, merge, parse, rollups
 from accesslens.plans.oracle_view import five, host, minute, parent, part, speed, sql, stamp, ua_keyword
@@ -31,7 +32,7 @@ def stored(v, df: DataFrame, name: str) -> DataFrame:
 # ---------------------------------------------------------- stored roll-ups
 @register("scan_rollup_range", f"SELECT * FROM ({hit_sql(ON_TIME, minute('ts_sec'))}) WHERE {IN_RANGE}")
 def scan_rollup_range(v):
-    return stored(v, rollups.hit_traffic_1m(v.machine_rows(), v.area), "hits").drop("hour")
+    return stored(v, rollups.hit_traffic_1m(v.hit_rows(), v.area), "hits").drop("hour")
 
 
 @register(
@@ -44,7 +45,7 @@ def scan_rollup_range(v):
       FROM ({hit_sql(ON_TIME, minute('ts_sec'))}) WHERE {IN_RANGE} GROUP BY ALL)""",
 )
 def hit_traffic_rollup(v):
-    read = stored(v, rollups.hit_traffic_1m(v.machine_rows(), v.area), "hits")
+    read = stored(v, rollups.hit_traffic_1m(v.hit_rows(), v.area), "hits")
     return rollups.hit_traffic_rollup(read, timing.rollup_label("hour", START, STOP))
 
 
@@ -58,7 +59,7 @@ def hit_traffic_rollup(v):
     ),
 )
 def status_rollup(v):
-    read = stored(v, rollups.status_traffic_1s(v.machine_rows(), v.area), "status")
+    read = stored(v, rollups.status_traffic_1s(v.located(v.owned()), v.area), "status")
     return rollups.status_rollup(read, timing.rollup_label("five", START, STOP))
 
 
@@ -85,7 +86,7 @@ def ua_rollup(v):
     ),
 )
 def machine_speed_rollup(v):
-    read = stored(v, rollups.machine_speed_1m(v.machine_rows()), "speed")
+    read = stored(v, rollups.machine_speed_1m(v.machine_rows(hits=True)), "speed")
     return rollups.machine_speed_rollup(read, timing.rollup_label("hour", START, STOP))
 
 
@@ -102,7 +103,8 @@ def pno_traffic_5m(v):
     minutes = rows.groupBy("domain", "pno", timing.minute_label(F.col("ts_sec")).alias("timestamp")).agg(
         F.sum("cs").alias("cs")
     )
-    path = staging.write_once(scans.with_hour(minutes), "pno", ("hour",))
+    far = minutes.withColumn("timestamp", F.col("timestamp") - 2 * STORED_MINUTE_REACH)  # beyond the reach
+    path = staging.write_once(scans.with_hour(minutes.unionByName(far)), "pno", ("hour",))
     return rollups.pno_traffic_5m(v.spark.read.parquet(path), START, "2024010100")
 
 
@@ -119,15 +121,19 @@ def edge_rows(v) -> DataFrame:
     sql(
         "located",
         f"""SELECT event_id, domain, cs, {stamp('ts_sec - 300', '%Y%m')}::int AS month_, {stamp('ts_sec - 300', '%d')}::int AS day_,
-        {stamp('ts_sec - 300', '%H')}::int AS hour_, {stamp('ts_sec - 300', '%M')}::int AS minute_, 1 AS source
+        {stamp('ts_sec - 300', '%H')}::int AS hour_, {stamp('ts_sec - 300', '%M')}::int AS minute_, 1 + event_id % 2 AS source
         FROM located WHERE {GOOD}""",
     ),
 )
 def sink_parquet_rows(v):
-    """Parsed rows under the minute five minutes earlier, marked by source."""
+    """Parsed rows of two jobs under the minute five minutes earlier, marked by source."""
     path = staging.fresh_path(v.spark, "rows")
-    sinks.write_rows(edge_rows(v), path, F.col("ts_sec"), source="1", shift_sec=300)
-    return v.spark.read.parquet(path).select("event_id", "domain", "cs", *sinks.MINUTE_PARTITIONS, "source")
+    rows = edge_rows(v)
+    for i in (0, 1):
+        mine = rows.filter(F.col("event_id") % 2 == i)
+        sinks.write_rows(mine, path, F.col("ts_sec"), source=str(i + 1), shift_sec=300)
+    read = v.spark.read.parquet(path).select("event_id", "domain", "cs", *sinks.MINUTE_PARTITIONS, "source")
+    return read.withColumn("source", F.col("source").cast("bigint"))
 
 
 @register("sink_catalog_partitions", sql("located", f"SELECT event_id, domain, cs FROM located WHERE {GOOD}"))
@@ -135,9 +141,10 @@ def sink_catalog_partitions(v):
     """The same folders seen through the table catalog."""
     path = staging.fresh_path(v.spark, "cataloged")
     sinks.write_rows(edge_rows(v).select("event_id", "ts_sec", "domain", "cs"), path, F.col("ts_sec"))
-    table = "rows_" + path.rsplit("-", 1)[1]
+    table = "cataloged_rows"
     parts = ", ".join(f"{p} string" for p in sinks.MINUTE_PARTITIONS)
     schema = f"event_id bigint, domain string, cs bigint, {parts}"
+    v.spark.sql(f"DROP TABLE IF EXISTS {table}")  # of an earlier run; its folder stays
     sinks.register_table(v.spark, table, path, schema, sinks.MINUTE_PARTITIONS)
     return v.spark.table(table).select("event_id", "domain", "cs")
 
@@ -171,7 +178,7 @@ def sink_rejects(v):
 @register("sink_documents", f"{ORACLES['domain_traffic_5m']}")
 def sink_documents(v):
     path = staging.fresh_path(v.spark, "documents")
-    rolled = rollups.traffic_by_domain(v.log(), v.domains, [], timing.five_label(F.col("ts_sec")))
+    rolled = rollups.traffic_by_domain(v.log(), v.owners, [], timing.five_label(F.col("ts_sec")))
     sinks.write_documents(rolled.withColumn("index", timing.day_hour_label(F.col("timestamp"))), path, "index")
     return v.spark.read.parquet(path).drop("index")
 
@@ -183,7 +190,7 @@ def sink_documents(v):
     FROM ({ORACLES['domain_traffic_5m']})""",
 )
 def sink_json(v):
-    rolled = rollups.traffic_by_domain(v.log(), v.domains, [], timing.five_label(F.col("ts_sec")))
+    rolled = rollups.traffic_by_domain(v.log(), v.owners, [], timing.five_label(F.col("ts_sec")))
     path = staging.fresh_path(v.spark, "json")
     columns = ["domain", "userid", "timestamp", "flow_size", "req_count"]
     sinks.json_documents(rolled.select(*columns)).write.text(path)
@@ -212,18 +219,23 @@ def sink_domain_gzip(v):
     return v.spark.read.text(path).select("domain", "value")
 
 
-@register("output_sizes")
+@register(
+    "output_sizes",
+    sql("owned", "SELECT domain || ' 0 ' || sum(strlen(event_id::varchar || ' ' || url) + 1)::varchar AS status, domain FROM owned GROUP BY domain"),
+)
 def output_sizes(v):
-    """Bytes per domain folder; sizes depend on the codec, so there is no SQL for it."""
-    path = staging.fresh_path(v.spark, "gzip")
-    sinks.write_by_domain(domain_lines(v), path)
+    """Bytes per domain folder, of text that is not compressed: a line and its end."""
+    path = staging.fresh_path(v.spark, "plain")
+    sinks.write_by_domain(domain_lines(v), path, compression="none")
     return merge.output_sizes(sinks.domain_files(v.spark, path))
 
 
 @register("output_size_domains", sql("owned", "SELECT DISTINCT domain, '0' AS flag, true AS has_bytes FROM owned"))
 def output_size_domains(v):
     words = F.split("status", " ")
-    return output_sizes(v).select(
+    path = staging.fresh_path(v.spark, "gzip")
+    sinks.write_by_domain(domain_lines(v), path)
+    return merge.output_sizes(sinks.domain_files(v.spark, path)).select(
         "domain", F.get(words, F.lit(1)).alias("flag"), (F.get(words, F.lit(2)).cast("bigint") > 0).alias("has_bytes")
     )
 
@@ -322,9 +334,19 @@ def adhoc_sql(v):
 
 
 # ------------------------------------------------------------------- streams
-def event_stream(v) -> DataFrame:
-    """The events file as a stream."""
-    return v.spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(v.sf_dir)
+def event_stream(v, files: int | None = None) -> DataFrame:
+    """The events table as a stream, one file or a folder of files.
+
+    The last letter as a pattern makes the source take either; a table without files is an error, as in
+    a batch read, and not an empty stream.
+    """
+    path = f"{v.sf_dir}/events.parquet"
+    if not v.table("events").inputFiles():
+        raise FileNotFoundError(f"no files in {path}")
+    reader = v.spark.readStream.schema(EVENTS)
+    if files:
+        reader = reader.option("maxFilesPerTrigger", files)
+    return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def line_stream(v) -> DataFrame:
@@ -339,11 +361,11 @@ def finished(query) -> None:
 
 
 @register("stream_domain_traffic_5m", ORACLES["domain_traffic_5m"])
-def stream_domain_traffic_5m(v):
+def stream_domain_traffic_5m(v, files: int | None = None):
     """Partial rows per micro-batch, merged when read."""
     path = staging.fresh_path(v.spark, "stream")
-    roll = lambda rows, _: rollups.traffic_by_domain(rows, v.domains, [], timing.five_label(F.col("ts_sec")))
-    rows = v.log(events=event_stream(v))
+    roll = lambda rows, _: rollups.traffic_by_domain(rows, v.owners, [], timing.five_label(F.col("ts_sec")))
+    rows = v.log(events=event_stream(v, files))
     finished(jobs.rollup_batches(rows, lambda b, _: b, {"traffic": roll}, path, f"{path}/checkpoint"))
     partials = jobs.read_partials(v.spark, path, "traffic")
     return jobs.merged(partials, ["domain", "userid", "timestamp"], ["flow_size", "req_count"])
@@ -357,7 +379,7 @@ def stream_domain_traffic_5m(v):
         UNION ALL SELECT 'late', domain, userid, ts_sec // 3600 * 3600, {FLOW_SQL} FROM owned WHERE {LATE} GROUP BY ALL""",
     ),
 )
-def stream_late_split(v):
+def stream_late_split(v, files: int | None = None):
     """On-time rows by minute and late rows by hour, two outputs of one batch."""
     path = staging.fresh_path(v.spark, "stream")
     keys = ["domain", "userid"]
@@ -365,8 +387,8 @@ def stream_late_split(v):
         "on_time": lambda r, _: rollups.traffic(filters.on_time(r), keys, timing.minute_label(F.col("ts_sec"))),
         "late": lambda r, _: rollups.traffic(filters.late(r), keys, timing.hour_label(F.col("ts_sec"))),
     }
-    own = lambda b, _: filters.known_domain(enrich.map_domain(b, v.domains))
-    finished(jobs.rollup_batches(v.log(events=event_stream(v)), own, outputs, path, f"{path}/checkpoint"))
+    own = lambda b, _: filters.known_domain(enrich.map_domain(b, v.owners))
+    finished(jobs.rollup_batches(v.log(events=event_stream(v, files)), own, outputs, path, f"{path}/checkpoint"))
     parts = []
     for name in outputs:
         rows = jobs.merged(jobs.read_partials(v.spark, path, name), [*keys, "timestamp"], ["flow_size", "req_count"])
@@ -400,26 +422,24 @@ def stream_adhoc_sql(v):
     return rows.groupBy("domain", "status").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes"))
 
 
-@register("batch_counts", "SELECT count(*) AS records FROM events")
-def batch_counts(v):
-    """Records per batch, noted while the batch is written; here their total."""
+@register("batch_counts", "SELECT 0::bigint AS batch_id, count(*) AS records FROM events")
+def batch_counts(v, files: int | None = None):
+    """Records of each batch, noted while the batch is written; one batch unless ``files`` bounds it."""
     path = staging.fresh_path(v.spark, "counts")
     write = lambda b, i: b.write.mode("overwrite").parquet(jobs.batch_folder(path, "data", i))
-    finished(jobs.count_batches(event_stream(v), write, path, f"{path}/checkpoint"))
-    return v.spark.read.parquet(f"{path}/counts").agg(F.sum("records").alias("records"))
+    finished(jobs.count_batches(event_stream(v, files), write, path, f"{path}/checkpoint"))
+    return v.spark.read.parquet(f"{path}/counts").select("batch_id", "records")
 
 
 @register(
     "stream_final_traffic",
-    sql(
-        "owned",
-        f"""SELECT domain, userid, {five('ts_sec')} AS timestamp, {FLOW_SQL} FROM owned GROUP BY 1, 2, 3
-        HAVING {five('ts_sec')} <= (SELECT max(ts_sec) - 600 FROM owned)""",
-    ),
+    sql("owned", f"SELECT domain, userid, {five('ts_sec')} AS timestamp, {FLOW_SQL} FROM owned GROUP BY 1, 2, 3"),
 )
-def stream_final_traffic(v):
-    """Final rows of the windows the watermark has passed; later ones are still open."""
+def stream_final_traffic(v, files: int | None = None):
+    """Final rows of closed windows, rows of those still open at the end, and late rows, added up."""
     path = staging.fresh_path(v.spark, "final")
-    own = filters.known_domain(enrich.map_domain(v.log(events=event_stream(v)), v.domains))
-    finished(jobs.append_final(jobs.final_traffic(own, ["domain", "userid"]), f"{path}/rows", f"{path}/checkpoint"))
-    return v.spark.read.parquet(f"{path}/rows")
+    keys = ["domain", "userid"]
+    own = lambda b, _: filters.known_domain(enrich.map_domain(b, v.owners))
+    finished(jobs.final_batches(v.log(events=event_stream(v, files)), own, keys, path, f"{path}/checkpoint"))
+    whole = jobs.read_final(v.spark, path, keys).unionByName(jobs.read_late(v.spark, path, keys))
+    return jobs.merged(whole, [*keys, "timestamp"], ["flow_size", "req_count"])

@@ -8,6 +8,7 @@ from accesslens.functions import net
 from accesslens.operators import enrich, filters
 from accesslens.plans.oracle_view import sql
 from accesslens.plans.registry import register
+from accesslens.plans.view import PRV_SHIFT
 
 
 # -------------------------------------------------------------------- lookups
@@ -55,11 +56,11 @@ def join_machine(v):
     return rows.select("event_id", "machine", *MACHINE_COLUMNS)
 
 
-def code_sql(c: str) -> str:
+def code_sql(c: str, inset: int = 0) -> str:
     return sql(
         "log dim_range",
         f"""SELECT event_id, ip, coalesce(r.{c}, 0)::varchar AS {c}
-        FROM log LEFT JOIN dim_range r ON ip BETWEEN lo AND hi""",
+        FROM log LEFT JOIN dim_range r ON ip BETWEEN lo + {inset} AND hi - {inset}""",
     )
 
 
@@ -68,7 +69,7 @@ def join_ip_isp(v):
     return enrich.with_code(v.events().select("event_id", "ip"), v.isp_ranges, "isp")
 
 
-@register("join_ip_prv", code_sql("prv"))
+@register("join_ip_prv", code_sql("prv", PRV_SHIFT))
 def join_ip_prv(v):
     return enrich.with_code(v.events().select("event_id", "ip"), v.prv_ranges, "prv")
 

@@ -159,7 +159,8 @@ part(
     "dim_area",
     "",
     """
-SELECT n_nationkey::varchar AS area_id, n_regionkey::varchar AS area_pid, '10' AS area_cid
+SELECT n_nationkey::varchar AS area_id, n_regionkey::varchar AS area_pid,
+       CASE WHEN n_nationkey % 2 = 0 THEN '10' ELSE '20' END AS area_cid
 FROM nation WHERE n_nationkey % 7 <> 6
 """,
 )
@@ -195,8 +196,9 @@ part(
     "located",
     "mapped dim_range",
     """
-SELECT m.*, coalesce(r.isp, 0)::varchar AS isp, coalesce(r.prv, 0)::varchar AS prv
+SELECT m.*, coalesce(r.isp, 0)::varchar AS isp, coalesce(p.prv, 0)::varchar AS prv
 FROM mapped m LEFT JOIN dim_range r ON m.ip BETWEEN r.lo AND r.hi
+LEFT JOIN dim_range p ON m.ip BETWEEN p.lo + 30000000 AND p.hi - 30000000
 """,
 )
 part("owned", "located", "SELECT * FROM located WHERE domain IS NOT NULL")

@@ -213,6 +213,11 @@ def hash_traffic_5m(v):
 
 
 # ----------------------------------------------------------------------- JSON
+JSON_GOOD = f"url LIKE 'http://%' AND NOT ({DAMAGED}) AND domain IS NOT NULL"
+# ids mod 40 with spoilt numbers: the strict form takes a number with a fraction for a whole one
+JSON_LOOSE, JSON_STRICT = "event_id % 40 NOT IN (11, 12, 13, 15)", "event_id % 40 NOT IN (11, 15) AND event_id % 10 <> 4"
+
+
 def json_sql(cond: str, cs: str) -> str:
     last = "list_last(string_split(url, '.'))"
     return sql(
@@ -221,16 +226,21 @@ def json_sql(cond: str, cs: str) -> str:
         CASE WHEN {last} IN ({SUFFIX_BASE}) THEN {last} ELSE 'other' END AS suffix, status AS "Fs", {cs} AS cs, '' AS refer,
         {ua_device('agent')} AS ua, es, hit AS st, {stamp('ts_sec')} AS timestamp, 0 AS dd, userid, 8.047::double AS tl,
         'GET' AS rm, 'HTTP/1.1' AS rv, '-' AS rf, {dotted('ip')} AS a, ts_sec AS "timestampLong"
-        FROM located WHERE url LIKE 'http://%' AND NOT ({DAMAGED}) AND domain IS NOT NULL AND {cond}""",
+        FROM located WHERE {JSON_GOOD} AND {cond}""",
     )
 
 
-@register("parse_json", json_sql("true", "CASE WHEN event_id % 10 = 4 THEN 0 ELSE cs END"))
+@register("parse_json", json_sql(JSON_LOOSE, "CASE WHEN event_id % 10 = 4 THEN 0 ELSE cs END"))
 def parse_json(v):
     return rows(parse.json(v.lines(v.json_text()), v.dims), JSON_LOG.names)
 
 
-@register("parse_json_strict", json_sql("event_id % 10 <> 4", "cs"))
+@register("parse_json_rejects", sql("located", f"SELECT event_id FROM located WHERE NOT ({JSON_GOOD} AND {JSON_LOOSE})"))
+def parse_json_rejects(v):
+    return bad_ids(parse.json(v.lines(v.json_text()), v.dims))
+
+
+@register("parse_json_strict", json_sql(JSON_STRICT, "CASE WHEN event_id % 40 = 12 THEN 5 ELSE cs END"))
 def parse_json_strict(v):
     return rows(parse.json_strict(v.lines(v.json_text()), v.dims), JSON_LOG.names)
 

@@ -158,17 +158,17 @@ def hit_sql(cond: str, label: str) -> str:
 
 @register("hit_traffic_1m", hit_sql(ON_TIME, minute("ts_sec")))
 def hit_traffic_1m(v):
-    return rollups.hit_traffic_1m(v.machine_rows(), v.area)
+    return rollups.hit_traffic_1m(v.hit_rows(), v.area)
 
 
 @register("late_hit_traffic_1h", hit_sql(LATE, hour("ts_sec")))
 def late_hit_traffic_1h(v):
-    return rollups.late_hit_traffic_1h(v.machine_rows(), v.area)
+    return rollups.late_hit_traffic_1h(v.hit_rows(), v.area)
 
 
 @register("late_hit_traffic_5m", hit_sql(LATE, five("ts_sec")))
 def late_hit_traffic_5m(v):
-    return rollups.late_hit_traffic_5m(v.machine_rows(), v.area)
+    return rollups.late_hit_traffic_5m(v.hit_rows(), v.area)
 
 
 @register(
@@ -180,7 +180,7 @@ def late_hit_traffic_5m(v):
     ),
 )
 def status_traffic_1s(v):
-    return rollups.status_traffic_1s(v.machine_rows(), v.area)
+    return rollups.status_traffic_1s(v.located(v.owned()), v.area)
 
 
 PLATFORM_SQL = 'max(platform) AS platform, max(pop_id)::varchar AS "popId"'
@@ -198,7 +198,7 @@ MACHINE_SQL = 'machine AS "machineName", machine_isp AS "machineIsp", machine_pr
     ),
 )
 def machine_flow_1m(v):
-    return rollups.machine_flow_1m(v.machine_rows(), v.area)
+    return rollups.machine_flow_1m(v.machine_rows(columns=("isp", "prv")), v.area)
 
 
 @register(
@@ -211,7 +211,7 @@ def machine_flow_1m(v):
     ),
 )
 def machine_hit_1m(v):
-    return rollups.machine_hit_1m(v.machine_rows(), v.area)
+    return rollups.machine_hit_1m(v.machine_rows(hits=True, columns=("prv",)), v.area)
 
 
 def machine_speed_sql(cond: str) -> str:
@@ -222,7 +222,7 @@ def machine_speed_sql(cond: str) -> str:
 
 @register("machine_speed_1m", sql("mach", machine_speed_sql(ON_TIME)))
 def machine_speed_1m(v):
-    return rollups.machine_speed_1m(v.machine_rows())
+    return rollups.machine_speed_1m(v.machine_rows(hits=True))
 
 
 @register(
@@ -230,7 +230,7 @@ def machine_speed_1m(v):
     sql("mach", f"SELECT * REPLACE ({hour('timestamp')} AS timestamp) FROM ({machine_speed_sql(LATE)})"),
 )
 def late_machine_speed_hour(v):
-    return rollups.late_machine_speed_hour(v.machine_rows())
+    return rollups.late_machine_speed_hour(v.machine_rows(hits=True))
 
 
 def machine_status_sql(cond: str) -> str:
@@ -305,7 +305,7 @@ def speed_histogram(v):
         F.lit("x:y"),
         F.lit("12:5"),
     )
-    rows = v.machine_rows().withColumn("speed_interval", F.when(e % 2 == 0, text).otherwise("0"))
+    rows = v.speed_rows().withColumn("speed_interval", F.when(e % 2 == 0, text).otherwise("0"))
     return rollups.speed_histogram(rows)
 
 

@@ -11,10 +11,10 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from accesslens.constants import LOG_TIME_FORMAT
-from accesslens.functions import agent, net, speed
+from accesslens.functions import net, speed
 from accesslens.operators import enrich, filters, parse
-from accesslens.schemas import BILLING, MACHINE, TABLES
-from accesslens.sources.dims import Dims
+from accesslens.schemas import BILLING, TABLES
+from accesslens.sources.dims import Dims, broadcast_if_small
 
 EPOCH0 = 1704067200  # 2024-01-01 00:00:00 UTC
 SPAN = 7200
@@ -22,6 +22,7 @@ IP_BASE = 16777216
 IP_SPAN = 3690987520
 RANGE_STEP = 147639500
 RANGE_WIDTH = 140000000
+PRV_SHIFT = 30000000
 
 
 def event_seconds(ts: Column) -> Column:
@@ -135,7 +136,9 @@ class LogView:
 
     @cached_property
     def prv_ranges(self) -> DataFrame:
-        return self.ranges.select("lo", "hi", F.col("n_nationkey").alias("code"))
+        """Unlike the isp ranges: begins PRV_SHIFT addresses later, and ends as much earlier."""
+        lo, hi = F.col("lo") + PRV_SHIFT, F.col("hi") - PRV_SHIFT
+        return self.ranges.select(lo.alias("lo"), hi.alias("hi"), F.col("n_nationkey").alias("code"))
 
     @cached_property
     def named_ranges(self) -> DataFrame:
@@ -154,7 +157,7 @@ class LogView:
         return self.table("nation").filter("n_nationkey % 7 <> 6").select(
             F.col("n_nationkey").cast("string").alias("area_id"),
             F.col("n_regionkey").cast("string").alias("area_pid"),
-            F.lit("10").alias("area_cid"),
+            F.when(F.col("n_nationkey") % 2 == 0, "10").otherwise("20").alias("area_cid"),
         )
 
     @cached_property
@@ -182,9 +185,28 @@ class LogView:
             F.explode(F.array(r * 2, r * 2 + 1)).alias("i")
         ).select(F.concat(F.lit("10.0.0."), F.col("i").cast("string")).alias("ip"))
 
+    # Lookup tables are measured once per query, and only those the query uses.
+    @cached_property
+    def owners(self) -> DataFrame:
+        return broadcast_if_small(self.domains)
+
+    @cached_property
+    def codes(self) -> DataFrame:
+        """Isp and province by address."""
+        return broadcast_if_small(enrich.place_table(self.isp_ranges, self.prv_ranges))
+
+    @cached_property
+    def places(self) -> DataFrame:
+        """The same with the area."""
+        return broadcast_if_small(enrich.place_table(self.isp_ranges, self.prv_ranges, self.area))
+
+    @cached_property
+    def machine_table(self) -> DataFrame:
+        return broadcast_if_small(self.machines)
+
     @cached_property
     def dims(self) -> Dims:
-        return Dims(
+        given = Dims(
             domains=self.domains,
             isp=self.isp_ranges,
             prv=self.prv_ranges,
@@ -193,28 +215,40 @@ class LogView:
             parents=self.parents,
             named=self.named_ranges,
         )
+        return given.measured()
 
     # -------------------------------------------------------- row families
+    # Each has the lookups its roll-ups name, and no others.
     def owned(self, machine: bool = False) -> DataFrame:
         """Log rows of owned domains."""
-        return filters.known_domain(enrich.map_domain(self.log(machine=machine), self.domains))
+        return filters.known_domain(enrich.map_domain(self.log(machine=machine), self.owners))
 
-    def located(self, rows: DataFrame) -> DataFrame:
-        rows = enrich.with_code(rows, self.isp_ranges, "isp")
-        return enrich.with_code(rows, self.prv_ranges, "prv")
+    def located(self, rows: DataFrame, columns: tuple[str, ...] = ("isp", "prv")) -> DataFrame:
+        area = any(c.startswith("area") for c in columns)
+        return enrich.with_place(rows, self.places if area else self.codes, columns)
 
     def billing(self) -> DataFrame:
         """Billing rows of owned domains."""
-        rows = enrich.with_area(self.located(self.owned()), self.area)
+        rows = self.located(self.owned(), enrich.PLACE)
         return rows.withColumns({"platform": F.lit("-"), "pop_id": F.lit(0)}).select(*BILLING.names)
 
-    def machine_rows(self) -> DataFrame:
-        rows = self.located(self.owned(machine=True))
-        rows = rows.withColumns(
-            {"fv_hit": speed.first_word_has_hit(F.col("fv")), "ua": agent.ua_keyword(F.col("agent"))}
-        )
-        rows = parse.machine_measures(rows, self.dims)
-        return rows.select("arrival_sec", "event_id", *MACHINE.names)
+    def _hits(self, rows: DataFrame) -> DataFrame:
+        rows = rows.withColumn("fv_hit", speed.first_word_has_hit(F.col("fv")))
+        return parse.with_hit_type(rows, self.parents)
+
+    def hit_rows(self) -> DataFrame:
+        """Owner, isp, province, hit type and speed; nothing of the machine."""
+        return self._hits(parse.with_speed(self.located(self.owned())))
+
+    def speed_rows(self) -> DataFrame:
+        """Owner and speed."""
+        return parse.with_speed(self.owned())
+
+    def machine_rows(self, hits: bool = False, columns: tuple[str, ...] = ()) -> DataFrame:
+        """Owner, machine and speed; hit type and place columns on request."""
+        rows = enrich.with_machine(parse.with_speed(self.owned(machine=True)), self.machine_table)
+        rows = self._hits(rows) if hits else rows
+        return self.located(rows, columns) if columns else rows
 
     # ------------------------------------------------------------ raw lines
     # The rows of ``log(machine=True)`` as text; lines with id 7 mod 100 are
@@ -360,9 +394,9 @@ class LogView:
         return self._wrap(F.col("machine"), rest)
 
     def json_text(self) -> Column:
-        """JSON line; the byte count is absent for id 4 mod 10."""
+        """JSON line; the byte count is absent for id 4 mod 10 and spoilt for some ids mod 40: text, 5.7, a ``.0``, text for es."""
         failure = F.when(self._damaged(), F.lit(" _jsonparsefailure")).otherwise("")
-        return F.to_json(
+        line = F.to_json(
             F.struct(
                 "es",
                 F.struct(F.lit(8.047).alias("value"), F.lit("s").alias("representation")).alias("tl"),
@@ -380,6 +414,15 @@ class LogView:
                 (F.col("ts_sec").cast("double") * 1e9).alias("lt"),
             )
         )
+        odd = F.col("event_id") % 40
+        cs = r'"cs":(\d+)'
+        return (
+            F.when(odd == 11, F.regexp_replace(line, cs, '"cs":"abc"'))
+            .when(odd == 12, F.regexp_replace(line, cs, '"cs":5.7'))
+            .when(odd == 13, F.regexp_replace(line, cs, '"cs":$1.0'))
+            .when(odd == 15, F.regexp_replace(line, r'"es":[^,]*', '"es":"x"'))
+            .otherwise(line)
+        )
 
     def mixed_text(self) -> Column:
         """Every event as edge, powza or media line, by its id."""

@@ -56,21 +56,8 @@ JSON_LOG = struct(
     "userid string, tl double, rm string, rv string, rf string, a string, timestampLong bigint"
 )
 
-#: What a JSON line may hold; every key is read as text or number by name.
+#: What a JSON line may hold; every key is read by name, numbers as they are written.
 JSON_LINE = T.StructType(
-    [
-        T.StructField("es", T.DoubleType()),
-        T.StructField("tl", T.StructType([T.StructField("value", T.DoubleType())])),
-        T.StructField("rm", T.StringType()),
-        T.StructField("Fs", T.LongType()),
-        T.StructField("st", T.StringType()),
-        T.StructField("hostname", T.StringType()),
-        T.StructField("ru", T.StringType()),
-        T.StructField("ua", T.StringType()),
-        T.StructField("rv", T.StringType()),
-        T.StructField("rf", T.StringType()),
-        T.StructField("a", T.StringType()),
-        T.StructField("cs", T.LongType()),
-        T.StructField("lt", T.DoubleType()),
-    ]
+    [T.StructField("tl", T.StructType([T.StructField("value", T.StringType())]))]
+    + [T.StructField(c, T.StringType()) for c in "es rm Fs st hostname ru ua rv rf a cs lt".split()]
 )

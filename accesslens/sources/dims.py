@@ -14,30 +14,41 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from accesslens.constants import DIR_SCHEMA_KEYS, WILDCARD_PREFIX, WILDCARD_TYPE
 
 
-BROADCAST_ROWS = 1_000_000
+#: Largest dimension, in bytes of its rows, that is sent to every executor.
+BROADCAST_BYTES = 32 << 20
 
+#: Addresses a range may hold: IPv4.
+ADDRESSES = 1 << 32
 
-def broadcast_if_small(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a dimension for broadcast after counting it; larger ones stay as they are.
 
-    The count stops one row past the bound.  A marked table may exceed the
-    planner's byte threshold, which keeps log rows from being shuffled for it;
-    an unmarked one is left to the planner, which joins it by shuffle.
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row as a hash table holds it: 8 per fixed column, 16 and the text per string."""
+    parts = [F.lit(16)]
+    for name, kind in df.dtypes:
+        parts.append(F.coalesce(F.octet_length(name), F.lit(0)) + 16 if kind == "string" else F.lit(8))
+    return sum(parts[1:], parts[0]).cast("bigint")
+
+
+def measured_bytes(df: DataFrame) -> int:
+    return df.agg(F.sum(row_bytes(df))).first()[0] or 0
+
+
+def broadcast_if_small(dim: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark a lookup table for broadcast after measuring its rows; larger ones stay as they are.
+
+    A marked table may exceed the planner's threshold, which keeps log rows from being shuffled for
+    it; an unmarked one is left to the planner, which joins it by shuffle.
     """
-    small = dim.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(dim) if small else dim
+    return F.broadcast(dim) if measured_bytes(dim) <= max_bytes else dim
 
 
 @dataclass(frozen=True)
 class Dims:
-    """The lookups one job needs; each is a small table, read where it is used."""
+    """The lookups one job needs; each is a small table, read where it is used.
 
-    def measured(self, max_rows: int = BROADCAST_ROWS) -> Dims:
-        """The same lookups, each marked for broadcast if its count allows it."""
-        given = {f.name: getattr(self, f.name) for f in fields(self)}
-        return replace(
-            self, **{n: broadcast_if_small(d, max_rows) for n, d in given.items() if d is not None}
-        )
+    ``places`` is the isp, province and area of address pieces (``enrich.place_table``); it is made
+    of the three where it is not given.
+    """
 
     domains: DataFrame | None = None
     isp: DataFrame | None = None
@@ -46,6 +57,18 @@ class Dims:
     machines: DataFrame | None = None
     parents: DataFrame | None = None
     named: DataFrame | None = None
+    places: DataFrame | None = None
+
+    def measured(self, max_bytes: int = BROADCAST_BYTES) -> Dims:
+        """The same lookups as they are joined (ranges as address blocks), each marked for broadcast if its bytes allow it."""
+        from accesslens.operators import enrich
+
+        given = {f.name: getattr(self, f.name) for f in fields(self)}
+        if self.places is None and self.isp is not None and self.prv is not None:
+            given["places"] = enrich.place_table(self.isp, self.prv, self.area)
+        # ranges are joined through ``places``; on their own they are exploded where they are used
+        kept = {n: given.pop(n) for n in ("isp", "prv", "named")}
+        return replace(self, **kept, **{n: broadcast_if_small(d, max_bytes) for n, d in given.items() if d is not None})
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -86,7 +109,7 @@ def load_domains(lines: DataFrame) -> DataFrame:
     rows = lines.filter(F.size(c) > 6).select(
         "pos",
         wildcard.alias("wildcard"),
-        F.when(wildcard, F.substring(F.get(c, F.lit(0)), len(WILDCARD_PREFIX) + 1, 1 << 20))
+        F.when(wildcard, F.substr(F.get(c, F.lit(0)), F.lit(len(WILDCARD_PREFIX) + 1)))
         .otherwise(F.get(c, F.lit(0)))
         .alias("name"),
         F.get(c, F.lit(6)).alias("userid"),
@@ -103,15 +126,24 @@ def user_domains(domains: DataFrame, userids: list[str]) -> DataFrame:
     return domains.filter(F.col("userid").isin(*userids)).select(F.col("name").alias("domain")).distinct()
 
 
+def is_range(lo: Column, hi: Column) -> Column:
+    """Whether two bounds are an IPv4 range; null counts as no."""
+    return F.coalesce((lo >= 0) & (lo <= hi) & (hi < ADDRESSES), F.lit(False))
+
+
 def load_ranges(lines: DataFrame) -> DataFrame:
-    """``lo hi code`` separated by spaces; malformed lines are dropped."""
+    """``lo hi code`` separated by spaces; malformed lines and impossible bounds are dropped.
+
+    A repeated ``lo`` keeps its last line.
+    """
     c = F.split("value", " ")
     rows = lines.filter(F.size(c) == 3).select(
+        "pos",
         F.get(c, F.lit(0)).try_cast("bigint").alias("lo"),
         F.get(c, F.lit(1)).try_cast("bigint").alias("hi"),
         F.get(c, F.lit(2)).try_cast("int").alias("code"),
     )
-    return rows.dropna()
+    return _last_per(rows.filter(is_range(F.col("lo"), F.col("hi")) & F.col("code").isNotNull()), "lo")
 
 
 def load_named_ranges(lines: DataFrame, min_fields: int = 6) -> DataFrame:
@@ -134,7 +166,7 @@ def load_named_ranges(lines: DataFrame, min_fields: int = 6) -> DataFrame:
         word(4).try_cast("int").alias("prv"),
         word(5).alias("prv_name"),
     )
-    return _last_per(rows.dropna(subset=["lo", "hi", "isp"]), "lo")
+    return _last_per(rows.filter(is_range(F.col("lo"), F.col("hi")) & F.col("isp").isNotNull()), "lo")
 
 
 def load_area(lines: DataFrame) -> DataFrame:
@@ -219,6 +251,7 @@ def overlapping_ranges(ranges: DataFrame, shift: int = 16) -> DataFrame:
     Two overlapping ranges share at least one address block, so the check runs
     per block and never sorts the whole table in one task.
     """
+    ranges = ranges.filter(is_range(F.col("lo"), F.col("hi")))
     blocks = F.explode(F.sequence(F.shiftright("lo", shift), F.shiftright("hi", shift)))
     w = Window.partitionBy("block").orderBy("lo", "hi").rowsBetween(Window.unboundedPreceding, -1)
     return (

@@ -89,20 +89,20 @@ def write_kafka(lines: DataFrame, brokers: str, topic: str) -> None:
     ).save()
 
 
-def write_by_domain(lines: DataFrame, path: str, mode: str = "append") -> None:
-    """Gzip text per domain from ``(domain, value)``; the key is not written.
+def write_by_domain(lines: DataFrame, path: str, mode: str = "append", compression: str = "gzip") -> None:
+    """Text per domain from ``(domain, value)``, gzip unless told otherwise; the key is not written.
 
     A hot domain gets several files, split by AQE.
     """
     _rebalanced(lines.select("domain", "value"), "domain").write.mode(mode).partitionBy("domain").option(
-        "compression", "gzip"
+        "compression", compression
     ).text(path)
 
 
 def domain_files(spark: SparkSession, path: str) -> DataFrame:
     """(domain, path, size) of every file a by-domain write left."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option(
-        "pathGlobFilter", "*.gz"
+        "pathGlobFilter", "part-*"
     ).load(path)
     domain = F.url_decode(F.regexp_extract("path", "/domain=([^/]*)/", 1))
     return files.select(domain.alias("domain"), "path", F.col("length").alias("size"))

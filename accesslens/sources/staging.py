@@ -44,3 +44,10 @@ def write_once(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) ->
     else:
         df.write.parquet(path)
     return path
+
+
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether a folder exists and holds anything, in whatever store the path names."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return store.exists(folder) and any(not s.getPath().getName().startswith("_") for s in store.listStatus(folder))

@@ -6,9 +6,9 @@ ones.  Every output of a batch goes to a folder named by the batch id and is
 overwritten there, so a batch that runs again after a failure leaves no
 repeats.  Dimensions are loaded again for every batch.
 
-Late rows are split off by their arrival time and written to outputs of their
-own; no watermark drops them.  ``final_traffic`` is the other choice: one final
-row per key, from a watermarked window.
+Late rows are split off and written to outputs of their own; nothing drops them.
+``final_batches`` closes windows behind the newest event time and writes each
+once; rows that come for a closed window go to its late output.
 """
 
 from __future__ import annotations
@@ -19,7 +19,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from accesslens.sources import sinks
+from accesslens.functions import timing
+from accesslens.sources import scans, sinks, staging
 from accesslens.sources.dims import Dims
 
 LoadDims = Callable[[SparkSession], Dims]
@@ -43,6 +44,11 @@ def start(
     return writer.start()
 
 
+def fresh_dims(load_dims: LoadDims, spark: SparkSession) -> Dims:
+    """A batch's lookups, loaded again and measured for broadcast."""
+    return load_dims(spark).measured()
+
+
 def batch_folder(path: str, output: str, batch_id: int) -> str:
     return f"{path}/{output}/{BATCH}={batch_id}"
 
@@ -59,13 +65,13 @@ def rollup_batches(
     """Partial roll-ups per micro-batch, rows computed once for all outputs."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        dims = load_dims(batch.sparkSession)
+        dims = fresh_dims(load_dims, batch.sparkSession)
         rows = to_rows(batch, dims)
         if len(outputs) > 1:
             rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             for name, roll in outputs.items():
-                roll(rows, dims).write.mode("overwrite").parquet(batch_folder(path, name, batch_id))
+                write_partial(roll(rows, dims), path, name, batch_id)
         finally:
             if len(outputs) > 1:
                 rows.unpersist()
@@ -73,8 +79,24 @@ def rollup_batches(
     return start(stream, each, checkpoint, every)
 
 
-def read_partials(spark: SparkSession, path: str, output: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/{output}")
+def write_partial(df: DataFrame, path: str, output: str, batch_id: int) -> None:
+    """A batch's part of a roll-up, under the hour of its label (``all`` without one) and the batch.
+
+    A batch that runs again replaces its own folders.
+    """
+    hourly = scans.with_hour(df) if "timestamp" in df.columns else df.withColumn("hour", F.lit("all"))
+    labelled = hourly.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
+    writer = labelled.hint("rebalance", "hour").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("hour", BATCH).parquet(f"{path}/{output}")
+
+
+def read_partials(
+    spark: SparkSession, path: str, output: str, start_sec: int | None = None, stop_sec: int | None = None
+) -> DataFrame:
+    """Partial rows of all batches; with both times only labels from start to before stop, and their hours."""
+    if start_sec is None or stop_sec is None:
+        return spark.read.parquet(f"{path}/{output}")
+    return scans.rollup_range(spark, f"{path}/{output}", start_sec, stop_sec)
 
 
 def merged(partials: DataFrame, keys: list[str], sums: list[str]) -> DataFrame:
@@ -82,23 +104,93 @@ def merged(partials: DataFrame, keys: list[str], sums: list[str]) -> DataFrame:
     return partials.groupBy(*keys).agg(*[F.sum(s).alias(s) for s in sums])
 
 
-def final_traffic(
-    rows: DataFrame, keys: list[str], lateness: str = "10 minutes", width: str = "5 minutes"
-) -> DataFrame:
-    """One final row per key and window, for append mode."""
-    timed = rows.withColumn("_time", F.timestamp_seconds("ts_sec")).withWatermark("_time", lateness)
-    sums = timed.groupBy(F.window("_time", width).alias("_w"), *keys).agg(
-        F.sum("cs").alias("flow_size"), F.count(F.lit(1)).alias("req_count")
-    )
-    label = F.unix_timestamp(F.col("_w.end")).alias("timestamp")
-    return sums.select(*keys, label, "flow_size", "req_count")
-
-
-def append_final(result: DataFrame, path: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    writer = result.writeStream.format("parquet").outputMode("append")
-    writer = writer.option("path", path).option("checkpointLocation", checkpoint)
-    writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
-    return writer.start()
+FINAL, LATE, MARKS, PARTS = "final", "late", "marks", "parts"
+SUMS = ["flow_size", "req_count"]
+
+
+def _mark(spark: SparkSession, path: str, batch_id: int) -> int | None:
+    """Windows up to this label were closed before the batch; None before the first."""
+    if not staging.has_files(spark, f"{path}/{MARKS}"):
+        return None
+    marks = spark.read.schema("closed bigint, batch bigint").parquet(f"{path}/{MARKS}")
+    return marks.filter(F.col(BATCH) < batch_id).agg(F.max("closed")).first()[0]
+
+
+def final_batches(
+    stream: DataFrame,
+    to_rows: ToRows,
+    keys: list[str],
+    path: str,
+    checkpoint: str,
+    lateness_sec: int = 600,
+    load_dims: LoadDims = no_dims,
+    every: str | None = None,
+) -> StreamingQuery:
+    """Traffic per keys and five minutes, a window's rows written once, when it closes.
+
+    A window closes when an event ``lateness_sec`` newer than its end was seen.  Parts of open windows lie
+    under their hour; closing reads the hours between the old mark and the new one alone.  Rows for a window
+    that closed in an earlier batch are summed into the late output.  All folders carry the batch
+    id and the mark of a batch depends on earlier ones only, so a batch may run again.
+    """
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        label = timing.five_label(F.col("ts_sec"))
+        rows = to_rows(batch, fresh_dims(load_dims, spark))
+        sums = rows.groupBy(*keys, label.alias("timestamp")).agg(
+            F.sum("cs").alias("flow_size"), F.count(F.lit(1)).alias("req_count"), F.max("ts_sec").alias("newest")
+        )
+        sums = sums.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            closed = _mark(spark, path, batch_id)
+            newest = sums.agg(F.max("newest")).first()[0]
+            if newest is None:
+                return
+            on_time = F.lit(True) if closed is None else F.col("timestamp") > closed
+            write_partial(sums.filter(on_time).drop("newest"), path, PARTS, batch_id)
+            write_partial(sums.filter(~on_time).drop("newest"), path, LATE, batch_id)
+            now = max(newest - lateness_sec, closed if closed is not None else newest - lateness_sec)
+            parts = _parts(spark, path, batch_id + 1).filter(F.col("timestamp") <= now)
+            if closed is not None:
+                parts = parts.filter(F.col("timestamp") > closed)
+                hours = [timing.day_hour_label(F.lit(t).cast("bigint")) for t in (closed, now)]
+                parts = parts.filter(F.col("hour").cast("string").between(*hours))
+            write_partial(merged(parts, [*keys, "timestamp"], SUMS), path, FINAL, batch_id)
+            mark = spark.range(1).select(F.lit(now).cast("bigint").alias("closed"))
+            mark.write.mode("overwrite").parquet(batch_folder(path, MARKS, batch_id))
+        finally:
+            sums.unpersist()
+
+    return start(stream, each, checkpoint, every)
+
+
+def _parts(spark: SparkSession, path: str, before: int) -> DataFrame:
+    return spark.read.parquet(f"{path}/{PARTS}").filter(F.col(BATCH) < before)
+
+
+def _rows(spark: SparkSession, path: str, output: str, keys: list[str]) -> DataFrame:
+    """Rows of an output that may have none yet; keys are text."""
+    columns = [*keys, "timestamp", *SUMS]
+    if staging.has_files(spark, f"{path}/{output}"):
+        return spark.read.parquet(f"{path}/{output}").select(*columns)
+    schema = ", ".join([f"{k} string" for k in keys] + [f"{c} bigint" for c in columns[len(keys) :]])
+    return spark.createDataFrame([], schema)
+
+
+def read_final(spark: SparkSession, path: str, keys: list[str], open_too: bool = True) -> DataFrame:
+    """Rows of closed windows; with ``open_too`` those of windows still open as they stand, for the end of a bounded run."""
+    final = _rows(spark, path, FINAL, keys)
+    closed = _mark(spark, path, 1 << 62)
+    if not open_too or closed is None:
+        return final
+    still = _rows(spark, path, PARTS, keys).filter(F.col("timestamp") > closed)
+    return final.unionByName(merged(still, [*keys, "timestamp"], SUMS))
+
+
+def read_late(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """Rows that came for windows already closed, summed per batch."""
+    return _rows(spark, path, LATE, keys)
 
 
 def ingest(
@@ -110,15 +202,17 @@ def ingest(
     load_dims: LoadDims = no_dims,
     rejects: str | None = None,
     every: str | None = None,
+    table: str | None = None,
 ) -> StreamingQuery:
     """Rows to a Parquet table by minute and batch, rejects to text.
 
-    ``to_rows`` returns a parse result; it is computed once and split.
+    ``to_rows`` returns a parse result; it is computed once and split.  With a catalog ``table`` over the path each
+    batch adds its own partitions, which costs the same however many there are.
     """
     from accesslens.operators import parse
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        parsed = to_rows(batch, load_dims(batch.sparkSession)).persist(StorageLevel.MEMORY_AND_DISK)
+        parsed = to_rows(batch, fresh_dims(load_dims, batch.sparkSession)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             good = parse.accepted(parsed).drop("value", "_state")
             labelled = sinks.with_minute_labels(good, label_sec).withColumn(BATCH, F.lit(batch_id))
@@ -126,6 +220,9 @@ def ingest(
             labelled.hint("rebalance", *by).write.mode("overwrite").option(
                 "partitionOverwriteMode", "dynamic"
             ).partitionBy(*by).parquet(path)
+            if table:
+                for r in labelled.select(*by).distinct().collect():  # the minutes of one batch
+                    sinks.add_partition(batch.sparkSession, table, **{c: str(r[c]) for c in by})
             if rejects:
                 sinks.write_rejects(parse.rejected(parsed), batch_folder(rejects, "rejects", batch_id), "overwrite")
         finally:
@@ -174,7 +271,7 @@ def sql_batches(
     """A user's SQL over every micro-batch, results as JSON documents."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        rows = to_rows(batch, load_dims(batch.sparkSession))
+        rows = to_rows(batch, fresh_dims(load_dims, batch.sparkSession))
         found = sinks.json_documents(run_sql(rows, query, view))
         found.write.mode("overwrite").text(batch_folder(path, "documents", batch_id))
 

@@ -1,5 +1,8 @@
 """Range edges, wildcard domains, duplicate dimension lines."""
 
+import random
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -44,6 +47,50 @@ def test_overlaps_are_refused(spark):
         loads.require_disjoint(bad)
 
 
+def test_overlaps_fail_every_lookup_and_never_multiply_rows(spark, dims):
+    bad = spark.createDataFrame([(1, 100000, 1), (100000, 200000, 2)], "lo bigint, hi bigint, code int")
+    row = spark.createDataFrame([("img.example.com", 100000)], "host string, ip bigint")
+    for d in (replace(dims, isp=bad), replace(dims, prv=bad), replace(dims, isp=bad).measured):
+        with pytest.raises(Exception, match="ranges of one table overlap"):
+            enrich.locate(row, d() if callable(d) else d).collect()
+    with pytest.raises(Exception, match="ranges of one table overlap"):
+        enrich.with_code(row, bad, "code").collect()
+
+
+def test_bad_range_lines_are_dropped(spark):
+    text = lines(spark, "0 9000000000000000000 2", "50 40 3", "-5 10 4", "100 200 5", "100 150 6", "1 2", "x 2 3", "300 4294967296 7")
+    assert pairs(loads.load_ranges(text), "lo", "hi", "code") == [(100, 150, 6)]
+    wild = spark.createDataFrame([(0, 9 * 10**18, 1), (9, 3, 2), (5, 6, 3)], "lo bigint, hi bigint, code int")
+    ips = spark.createDataFrame([(5,), (7,)], "ip bigint")
+    assert pairs(enrich.with_code(ips, wild, "code"), "ip", "code") == [(5, "3"), (7, "0")]
+
+
+def test_places_are_the_two_lookups_and_the_area(spark):
+    rnd = random.Random(5)
+
+    def table():
+        cuts = sorted(rnd.sample(range(0, 1 << 32, 1 << 12), 60))
+        return [(a, b - rnd.choice([1, 1, 5000]), i) for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if rnd.random() < 0.7 and b - a > 6000]
+
+    isp, prv = table(), table()
+    names = "lo bigint, hi bigint, code int"
+    area = spark.createDataFrame([(str(i), f"p{i}", f"c{i}") for i in range(0, 60, 2)], "area_id string, area_pid string, area_cid string")
+    ips = {0, (1 << 32) - 1, 1 << 32, -1, None} | {x + d for t in (isp, prv) for a, b, _ in t for x in (a, b) for d in (-1, 0, 1)}
+
+    def find(rows, ip):
+        return next((str(c) for a, b, c in rows if ip is not None and a <= ip <= b), "0")
+
+    df = spark.createDataFrame([(x,) for x in ips], "ip bigint")
+    got = enrich.with_place(df, enrich.place_table(spark.createDataFrame(isp, names), spark.createDataFrame(prv, names), area), enrich.PLACE)
+    rows = got.collect()
+    assert len(rows) == len(ips)
+    for r in rows:
+        p = find(prv, r.ip)
+        inside = r.ip is not None and 0 <= r.ip < 1 << 32
+        want = (f"p{p}", f"c{p}") if inside and int(p) % 2 == 0 else ("0", "0")
+        assert (r.isp, r.prv, r.area_pid, r.area_cid) == (find(isp, r.ip), p, *want)
+
+
 def test_domains(spark, dims):
     df = spark.createDataFrame([("img.example.com",), ("a.cdn.example.org",), ("cdn.example.org",), ("x.y",), (None,)], "host string")
     got = {r.host: (r.domain, r.userid) for r in enrich.map_domain(df, dims.domains).collect()}
@@ -98,15 +145,21 @@ def test_line_filters(spark):
     assert filters.keep(urls, lambda d: F.length(d["value"]) == 16).count() == 1
 
 
-def test_dimensions_are_broadcast_only_within_the_counted_bound(spark, dims):
+def test_dimensions_are_broadcast_only_within_the_measured_bound(spark, dims):
     df = spark.createDataFrame([("img.example.com", 16777300)], "host string, ip bigint")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        for bound, joins in ((10, "BroadcastHashJoin"), (1, "SortMergeJoin")):
+        for bound, broadcasts in ((loads.BROADCAST_BYTES, 3), (1, 0)):
             d = dims.measured(bound)
-            out = enrich.with_code(enrich.map_domain(df, d.domains), d.isp, "isp")
+            out = enrich.locate(enrich.map_domain(df, d.domains), d)
             plan = out._jdf.queryExecution().executedPlan().toString()
-            assert plan.count(joins) == 3
+            assert plan.count("BroadcastHashJoin") == broadcasts
             assert [(r.domain, r.isp) for r in out.collect()] == [("img.example.com", "11")]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+
+
+def test_bytes_are_those_of_the_rows(spark):
+    small = spark.createDataFrame([("a", 1)], "s string, n bigint")
+    large = spark.createDataFrame([("a" * 5000, 1)] * 3, "s string, n bigint")
+    assert loads.measured_bytes(small) < 100 < 15000 < loads.measured_bytes(large) < 16000

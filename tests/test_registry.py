@@ -3,12 +3,14 @@
 ``python check.py`` compares every query at sf0.01.
 """
 
+import hashlib
 import re
 
 import pytest
 
 import __spark_entry__ as entry
 import check
+from accesslens.plans import catalog
 
 SF = "/root/testdata/sf0.001"
 CROSS_SECTION = [
@@ -28,7 +30,7 @@ def con():
 
 def test_every_query_is_named_once_and_sql_names_exist():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"output_sizes"}
+    assert set(catalog.queries()) == set(catalog.oracle_sql())
 
 
 @pytest.mark.parametrize("name", CROSS_SECTION)
@@ -41,7 +43,7 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if not WRITES.match(n)])
+@pytest.mark.parametrize("name", [n for n in catalog.queries() if not WRITES.match(n)])
 def test_no_query_multiplies_rows_or_leaves_the_jvm(spark, name):
     plan = plan_of(entry.queries()[name](spark, SF))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas", "Arrow"):
@@ -65,6 +67,42 @@ def test_node_speed_reads_the_log_once(spark):
     assert len([line for line in big if "Reused" in line]) == 3
 
 
+#: Joins of a whole plan: pages, the two owner lookups, and what each query names besides.
+JOINS = {
+    "status_traffic_1s": 5, "hit_traffic_1m": 6, "late_hit_traffic_1h": 6, "late_hit_traffic_5m": 6, "speed_histogram": 3,
+    "machine_speed_1m": 8, "late_machine_speed_hour": 8, "machine_status_1m": 7, "late_machine_status_hour": 7,
+    "machine_hit_1m": 10, "machine_flow_1m": 10, "platform_traffic_5m": 5, "ua_traffic": 3, "node_speed_5m": 4,
+}
+
+
+@pytest.mark.parametrize("name", JOINS)
+def test_a_query_looks_up_only_what_it_uses(spark, name):
+    plan = plan_of(entry.queries()[name](spark, SF))
+    assert len(re.findall(r"(?:HashJoin|MergeJoin) ", plan)) <= JOINS[name], plan
+
+
+def test_no_exchange_of_the_log_for_a_lookup(spark):
+    plan = plan_of(entry.queries()["hit_traffic_1m"](spark, "/root/testdata/sf0.1"))
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+
+
+def test_stored_minutes_are_pruned_by_hour(spark):
+    plan = plan_of(entry.queries()["pno_traffic_5m"](spark, SF))
+    assert re.search(r"PartitionFilters: \[[^]]*hour", plan)
+
+
+def test_word_lists_are_as_they_were():
+    """The SQL takes these lists from the package; they are pinned here."""
+    from accesslens import constants
+
+    pinned = {
+        "SUFFIXES_BASE": "2187c142086820c8bf4f780e24f914eb", "SUFFIXES_EDGE": "f07ed4921b0b74099a67c1d43a0e85ac",
+        "UA_KEYWORDS": "c3ea82adb33acb70e781c4f5e4880875", "UA_TV": "24716931ef718b3bf6cbebe149872981",
+        "UA_MOBILE": "cda7fae01cc296d23662c2285e5179c2", "UA_PC": "8581f55eb21c79e674773a18093558fe",
+    }
+    assert {n: hashlib.md5(" ".join(getattr(constants, n)).encode()).hexdigest() for n in pinned} == pinned
+
+
 def test_raw_lines_are_cut_once(spark):
     plan = plan_of(entry.queries()["parse_dispatch"](spark, SF))
     assert plan.count("gettimestamp(") == 1

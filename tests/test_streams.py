@@ -1,6 +1,7 @@
 """The same operators over streams: totals, restarts, late rows, refreshed dimensions."""
 
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from accesslens.functions import timing
 from accesslens.operators import enrich, filters, parse, rollups
 from accesslens.schemas import struct
-from accesslens.sources import scans
+from accesslens.sources import scans, sinks
 from accesslens.streaming import jobs
 
 ROWS = struct("domain string, userid string, ts_sec bigint, arrival_sec bigint, cs bigint")
@@ -49,7 +50,10 @@ def test_partials_merge_to_the_batch_result_and_restart_loses_nothing(spark, fol
     put(spark, f"{folder}/in", 1500)
     run(spark, folder, {"five": five})
     run(spark, folder, {"five": five})
-    assert len([f for f in os.listdir(f"{folder}/out/five") if f.startswith("batch=")]) == 4
+    assert {r.batch for r in jobs.read_partials(spark, f"{folder}/out", "five").select("batch").collect()} == {0, 1, 2, 3}
+    some = jobs.read_partials(spark, f"{folder}/out", "five", 600, 1500)
+    assert {r.timestamp for r in some.collect()} == {600, 900, 1200}
+    assert re.search(r"PartitionFilters: \[[^]]*hour", some._jdf.queryExecution().executedPlan().toString())
     assert table(merged(spark, folder, "five")) == table(five(spark.read.parquet(f"{folder}/in")))
 
 
@@ -98,15 +102,62 @@ def test_dimensions_are_read_again_for_every_batch(spark, folder, dims):
     assert users == {"old", "new"}
 
 
-def test_final_rows_equal_the_batch_result_once_the_watermark_passed(spark, folder):
+def final(spark, folder):
+    jobs.final_batches(stream(spark, f"{folder}/in"), lambda b, _: b, KEYS, f"{folder}/out", f"{folder}/cp").awaitTermination()
+
+
+def test_final_rows_are_written_once_and_late_rows_kept(spark, folder):
     put(spark, f"{folder}/in", 0)
     put(spark, f"{folder}/in", 600)
-    result = jobs.final_traffic(stream(spark, f"{folder}/in"), KEYS)
-    jobs.append_final(result, f"{folder}/out", f"{folder}/cp").awaitTermination()
+    final(spark, folder)
     put(spark, f"{folder}/in", 100000, 1)
-    jobs.append_final(jobs.final_traffic(stream(spark, f"{folder}/in"), KEYS), f"{folder}/out", f"{folder}/cp").awaitTermination()
-    want = [r for r in table(five(spark.read.parquet(f"{folder}/in"))) if r[2] < 50000]
-    assert table(spark.read.parquet(f"{folder}/out")) == want
+    final(spark, folder)
+    put(spark, f"{folder}/in", 0, 7)  # windows long closed
+    final(spark, folder)
+    whole = table(five(spark.read.parquet(f"{folder}/in")))
+    closed = table(jobs.read_final(spark, f"{folder}/out", KEYS, open_too=False))
+    assert len({r[:3] for r in closed}) == len(closed) and {r[2] for r in whole if r[2] < 50000} == {r[2] for r in closed}
+    late = jobs.read_late(spark, f"{folder}/out", KEYS)
+    assert sum(r.req_count for r in late.collect()) == 7
+    both = jobs.read_final(spark, f"{folder}/out", KEYS).unionByName(late)
+    assert table(jobs.merged(both, [*KEYS, "timestamp"], jobs.SUMS)) == whole
+
+
+def test_no_row_of_six_files_is_lost(spark, folder):
+    import time
+
+    sizes = [(0, 200), (1000, 200), (5000, 204), (100, 100), (2000, 100), (200, 100)]  # the last three are late
+    for start, n in sizes:
+        put(spark, f"{folder}/in", start, n)
+        time.sleep(1.1)  # files are taken in the order of their times
+    final(spark, folder)
+    late = sum(r.req_count for r in jobs.read_late(spark, f"{folder}/out", KEYS).collect())
+    kept = sum(r.req_count for r in jobs.read_final(spark, f"{folder}/out", KEYS).collect())
+    assert late > 100 and late + kept == 904
+
+
+def test_streams_read_a_folder_of_files(spark, folder):
+    import shutil
+
+    from accesslens.plans import io_queries, registry
+    from accesslens.plans.view import LogView
+
+    small = "/root/testdata/sf0.001"
+    for name in os.listdir(small):
+        if name != "events.parquet":
+            shutil.copy(f"{small}/{name}", folder)
+    spark.read.parquet(f"{small}/events.parquet").repartition(3).write.parquet(f"{folder}/events.parquet")
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    for name in ("stream_domain_traffic_5m", "stream_final_traffic", "stream_late_split"):
+        got = getattr(io_queries, name)(LogView(spark, folder), files=1)
+        want = registry.QUERIES["domain_traffic_5m" if "late" not in name else name](LogView(spark, small))
+        columns = sorted(want.columns)
+        assert sorted(map(tuple, got.select(*columns).collect())) == sorted(map(tuple, want.select(*columns).collect()))
+    counts = io_queries.batch_counts(LogView(spark, folder), files=1).collect()
+    assert len(counts) == 3 and sum(r.records for r in counts) == spark.read.parquet(f"{small}/events.parquet").count()
+    os.makedirs(f"{folder}/none/events.parquet")
+    with pytest.raises(FileNotFoundError):
+        io_queries.event_stream(LogView(spark, f"{folder}/none"))
 
 
 LINE = (
@@ -126,14 +177,19 @@ def text(folder):
 
 
 def test_ingest_splits_rows_and_rejects(spark, folder, dims, text):
+    spark.sql("DROP TABLE IF EXISTS ingested_rows")
+    parts = "month_ string, day_ string, hour_ string, minute_ string, batch string"
+    os.makedirs(f"{folder}/rows")
+    sinks.register_table(spark, "ingested_rows", f"{folder}/rows", f"cs bigint, {parts}", (*sinks.MINUTE_PARTITIONS, "batch"))
     for _ in range(2):
         jobs.ingest(
             scans.file_lines(spark, text, max_files=1), parse.dispatch_access, f"{folder}/rows", f"{folder}/cp",
-            F.unix_timestamp("arrival"), lambda _: dims, rejects=folder,
+            F.unix_timestamp("arrival"), lambda _: dims, rejects=folder, table="ingested_rows",
         ).awaitTermination()
     rows = spark.read.parquet(f"{folder}/rows")
     assert sorted(r.cs for r in rows.collect()) == list(range(30))
     assert {"month_", "day_", "hour_", "minute_", "batch"} <= set(rows.columns)
+    assert spark.table("ingested_rows").count() == 30  # partitions were added batch by batch
     assert [r.value for r in spark.read.text(f"{folder}/rejects").select("value").collect()] == ["damaged line"] * 3
 
 
