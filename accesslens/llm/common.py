@@ -44,6 +44,13 @@ def binary_values(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Batches cut to few rows, so that a task holds the Python copies of few texts at a time."""
+    for b in batches:
+        for lo in range(0, b.num_rows, rows):
+            yield b.slice(lo, rows)
+
+
 def chunks(sizes: list[int], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of about ``limit`` bytes; a longer row is a range of its own."""
     lo, held = 0, 0

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from accesslens.llm.common import CHUNK_BYTES, table, texts
+from accesslens.llm.common import CHUNK_BYTES, slices, table, texts
 from accesslens.llm.packing import mixed
 
 SHINGLE = 5
@@ -77,7 +77,7 @@ _tables: list[tuple[np.ndarray, np.ndarray]] = []
 def _table(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base and of its inverse modulo 2^64, kept for the task."""
     if not _tables or len(_tables[0][0]) < n:
-        size = max(n, CHUNK_BYTES)
+        size = max(n, CHUNK_BYTES // 2)
         _tables[:] = [(_powers(_BASE, size), _powers(pow(_BASE, -1, 1 << 64), size))]
     up, down = _tables[0]
     return up[:n], down[:n]
@@ -235,7 +235,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
         shared = spark.sparkContext.broadcast(items)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for b in batches:
+            for b in slices(batches):
                 rows = []
                 for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                     for item, (s, at, n) in sorted(shared.value.matches(word_hashes(text)).items()):
@@ -254,7 +254,7 @@ def decontamination_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
         shared = spark.sparkContext.broadcast(items)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for b in batches:
+            for b in slices(batches):
                 yield b.filter(pa.array([not shared.value.matches(word_hashes(t)) for t in b.column(at).to_pylist()], pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from accesslens.llm.common import CHUNK_BYTES, chunks, crc_mod, table, texts
+from accesslens.llm.common import CHUNK_BYTES, chunks, crc_mod, slices, table, texts
 from accesslens.llm.packing import pack, unpack
 
 #: Bounds of the training sample: documents for each language, and languages, the most frequent first.
@@ -190,7 +190,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             got = _predict(shared.value, b.column(1).to_pylist())
             arrays = [b.column(0), b.column(2), pa.array([x[0] for x in got], pa.string())]
             arrays += [pa.array([x[1] for x in got], pa.float64()), pa.array([x[2] for x in got], pa.string())]

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from accesslens.llm.common import crc_mod, stage, table, texts
+from accesslens.llm.common import crc_mod, slices, stage, table, texts
 
 #: Bound of the sample of labelled rows: those with the smallest hashes.
 EXAMPLES = 8000
@@ -72,7 +72,7 @@ def term_counts(words: list[str]) -> Counter:
 
 def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(example, toxic, term, count) for a batch of (doc_id, toxic, text); the term ``#`` has the number of words."""
-    for b in batches:
+    for b in slices(batches, 64):
         rows: list[tuple] = []
         for doc, toxic, text in zip(*(b.column(i).to_pylist() for i in range(3))):
             words = words_of(text)
@@ -294,7 +294,7 @@ def score(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col: str =
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             got = [shared.value.score(t) for t in b.column(1).to_pylist()]
             p = [x[0] for x in got]
             arrays = [b.column(0), b.column(2), pa.array(p, pa.float64()), pa.array([int(x >= 0.5) for x in p], pa.int32())]
@@ -311,7 +311,7 @@ def toxicity_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             yield b.filter(pa.array([shared.value.score(t)[0] < 0.5 for t in b.column(at).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accesslens.llm.common import table, texts
+from accesslens.llm.common import slices, table, texts
 from accesslens.sources.staging import fresh_path
 
 LEDGER_SCHEMA = "blob binary, rule string, version int, spans array<struct<start:long, end:long>>"
@@ -74,7 +74,7 @@ def scan(unseen: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     by_name = {r.name: r for r in rules}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             done: list[tuple] = []
             for blob, text, todo in zip(*(b.column(i).to_pylist() for i in range(3))):
                 lower = text.lower()
@@ -159,5 +159,35 @@ def op6_secret_scan(spark, sf_dir: str) -> DataFrame:
     return digest(findings(table(spark, sf_dir, "documents"), Ledger(spark, fresh_path(spark, "secret-ledger"))))
 
 
-ORACLE: dict[str, str] = {}
+
+
+def _either(word: str) -> str:
+    """A word in either case, as a pattern without flags."""
+    return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
+
+
+_NAMES = "|".join(_either(w) for w in ("password", "passwd", "secret", "token", "api_?key"))
+_ASSIGN = f"({_NAMES})[\"'']?\\x20*[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+)"
+
+#: Positions from the lengths of the matches and of the text between them.
+ORACLE = {
+    "op6_secret_scan": f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents), rules(rank, kind, least) AS (VALUES (0, 'assign', 8), (1, 'access', 16), (2, 'hex', 32)),
+cut AS (
+  SELECT doc_id, 0 AS rank, regexp_extract_all(text, '{_ASSIGN}') AS hits, regexp_extract_all(text, '{_ASSIGN}', 2) AS parts, regexp_split_to_array(text, '{_ASSIGN}') AS gaps FROM d
+  UNION ALL SELECT doc_id, 1, regexp_extract_all(text, 'AKIA[A-Z0-9]+'), regexp_extract_all(text, 'AKIA[A-Z0-9]+'), regexp_split_to_array(text, 'AKIA[A-Z0-9]+') FROM d
+  UNION ALL SELECT doc_id, 2, regexp_extract_all(text, '[0-9a-f]+'), regexp_extract_all(text, '[0-9a-f]+'), regexp_split_to_array(text, '[0-9a-f]+') FROM d),
+spans AS (
+  SELECT doc_id, rank, i, length(parts[i]) AS n, length(hits[i]) AS size,
+         list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) AS start
+  FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM cut WHERE len(hits) > 0)),
+kept AS (SELECT doc_id, kind, rank, start::bigint AS start, (start + size)::bigint AS stop FROM spans JOIN rules USING (rank) WHERE n >= least),
+joined AS (
+  SELECT doc_id, coalesce(string_agg(kind || ':' || start::varchar || ':' || stop::varchar, ',' ORDER BY start, rank), '') AS spans,
+         count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex
+  FROM kept GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN joined USING (doc_id)"""
+}
 QUERIES = {"op6_secret_scan": op6_secret_scan}

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from accesslens.llm.common import binary_values, long_array, stage, texts
+from accesslens.llm.common import binary_values, long_array, slices, stage, texts
 from accesslens.llm.components import components
 
 SEED = 42
@@ -62,7 +62,7 @@ def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS, id_col: str = "doc
     """(doc_id, fp): fingerprints as signed longs, one row per input row, no shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             fps = np.array([fingerprint(x, words) for x in binary_values(b.column(1))], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), long_array(fps.view(np.int64))], names=["doc_id", "fp"])
 
