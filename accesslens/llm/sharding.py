@@ -34,7 +34,7 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         "doc_id",
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(F.col("text").cast("binary")).alias("text_crc32"),
-        F.xxhash64("text").alias("h"),
+        F.md5(F.col("text").cast("binary")).alias("h"),
     )
 
 
@@ -63,7 +63,7 @@ def _running(rows: DataFrame) -> DataFrame:
             if n:
                 offset, place = int(ends[-1]), place + n
 
-    return rows.mapInArrow(run, "doc_id long, h long, text_crc32 long, size long, part long, at long, place long")
+    return rows.mapInArrow(run, "doc_id long, h string, text_crc32 long, size long, part long, at long, place long")
 
 
 def _global(rows: DataFrame) -> DataFrame:
@@ -132,4 +132,29 @@ def op4_sharding(spark, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op4_sharding": op4_sharding}
-ORACLE: dict[str, str] = {}
+#: CRC-32 byte by byte from its table of 256; then the order, the cuts and the slots.
+ORACLE = {
+    "op4_sharding": f"""
+WITH t AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i::bigint], range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384::bigint, c >> 1) ELSE c >> 1 END)) AS tab),
+d AS (
+  SELECT doc_id, coalesce(strlen(text), 0) + 1 AS size, md5(text) AS h,
+    xor(list_reduce(list_concat([4294967295::bigint], list_transform(range(strlen(text)), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::bigint)),
+      lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295::bigint) AS text_crc32
+  FROM (SELECT doc_id, text, hex(encode(text)) AS x FROM documents), t),
+total AS (SELECT sum(size)::bigint AS n FROM d),
+grouped AS (
+  SELECT *, CASE WHEN held * {SHARDS * LARGE_PART} > n THEN held ELSE 0 END AS first
+  FROM (SELECT *, sum(size) OVER (PARTITION BY h, text_crc32, size)::bigint AS held FROM d), total),
+placed AS (
+  SELECT *, row_number() OVER w - 1 AS place, sum(size) OVER w - size AS pos FROM grouped
+  WINDOW w AS (ORDER BY first DESC, h NULLS FIRST, text_crc32, size, doc_id NULLS FIRST)),
+spans AS (SELECT min(pos) AS lo, max(pos + size) AS hi FROM placed GROUP BY h, text_crc32, size),
+cuts AS (
+  SELECT i, CASE WHEN t - lo <= hi - t THEN lo ELSE hi END AS cut
+  FROM (SELECT i, n * i // {SHARDS} AS t FROM total, (SELECT unnest(range(1, {SHARDS})) AS i)) JOIN spans ON lo <= t AND t < hi),
+dealt AS (SELECT *, (SELECT count(*) FROM cuts WHERE pos >= cut) AS shard FROM placed)
+SELECT doc_id, size::bigint AS size, text_crc32, 'bytes' AS law, shard::int AS shard,
+  (place - min(place) OVER (PARTITION BY shard))::bigint AS slot, NULL::int AS grown_shard FROM dealt"""
+}
