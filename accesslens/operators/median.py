@@ -99,7 +99,13 @@ def sums_and_median(
 
 
 def median_by_rank(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Same median read off counted values in order; for moderate groups."""
-    values = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    """Same median by rank in one step less: the coarse bucket that holds the rank, then its values in order.
+
+    For groups whose values spread over many doublings; no window sees more than a bucket's values.
+    """
+    values = counted(df, keys, value)
+    coarse = values.groupBy(*keys, "_coarse").agg(F.sum("_n").alias("_n"))
     total = F.sum("_n").over(Window.partitionBy(*keys))
-    return _pick(values.withColumn("_rank", F.floor(total / 2)), keys, value).select(*keys, value)
+    at = _pick(coarse.withColumn("_rank", F.floor(total / 2)), keys, "_coarse")
+    inside = values.select(*keys, "_coarse", value, "_n").join(at, [*keys, "_coarse"])
+    return _pick(inside, keys, value).select(*keys, value)
