@@ -266,4 +266,25 @@ def op1_decontamination(spark, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_decontamination": op1_decontamination}
-ORACLE: dict[str, str] = {}
+_SQL_WORDS = r"regexp_extract_all(lower(coalesce(text, '')), '(?:[a-z0-9]|[^\x00-\x7F])+')"
+
+#: All windows that share a shingle, without fingerprints.
+ORACLE = {
+    "op1_decontamination": f"""
+WITH items AS (SELECT item_id, w, len(w) AS n, least({SHINGLE}, len(w)) AS width FROM (SELECT item_id, {_SQL_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+docs AS (SELECT doc_id, width, w, len(w) - width + 1 AS n FROM (SELECT doc_id, {_SQL_WORDS} AS w FROM documents), (SELECT DISTINCT width FROM items) WHERE len(w) >= width),
+d AS (SELECT doc_id, width, n, i, array_to_string(w[i + 1 : i + width], ' ') AS s FROM (SELECT *, unnest(range(n)) AS i FROM docs)),
+bags AS (SELECT item_id, n, width, s, count(*) AS c FROM (
+  SELECT item_id, n, width, array_to_string(w[i + 1 : i + width], ' ') AS s FROM (SELECT *, unnest(range(n - width + 1)) AS i FROM items)) GROUP BY ALL),
+hits AS (SELECT d.doc_id, d.width, b.item_id, d.i, least(b.n - b.width + 1, d.n) AS span, b.n - b.width + 1 AS total, d.n AS held
+  FROM d JOIN bags b ON d.width = b.width AND d.s = b.s),
+starts AS (SELECT DISTINCT doc_id, width, item_id, span, total,
+  unnest(range(greatest(i - span + 1, 0), least(i, held - span) + 1)) AS start FROM hits),
+shared AS (SELECT doc_id, width, item_id, span, total, start, s, count(*) AS c FROM starts JOIN d USING (doc_id, width)
+  WHERE i BETWEEN start AND start + span - 1 GROUP BY ALL),
+scored AS (SELECT doc_id, item_id, start, least / (span + total - least) AS similarity FROM (
+  SELECT doc_id, item_id, start, span, total, sum(least(a.c, b.c))::bigint AS least
+  FROM shared a JOIN bags b USING (item_id, width, s) GROUP BY ALL))
+SELECT doc_id, item_id, max(similarity) AS similarity, arg_min(start, (-similarity, start))::bigint AS first_word, count(*) AS windows
+FROM scored WHERE similarity >= {SIMILARITY} GROUP BY doc_id, item_id"""
+}
