@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accesslens.sources.staging import write_once
+from accesslens.sources.staging import fresh_path
 
 #: Text bytes a task function works on at a time.
 CHUNK_BYTES = 1 << 21
@@ -20,8 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read again: lineage ends here and lost executors cost nothing."""
-    path = write_once(df, f"llm-{name}")
+    """Write to the shared folder and read again: lineage ends here and lost executors cost nothing.
+
+    Zstandard takes no buffers outside the heap, which many small files would pile up.
+    """
+    path = fresh_path(df.sparkSession, f"llm-{name}")
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -38,7 +38,7 @@ def components(edges: DataFrame) -> DataFrame:
     e = stage(e, "edges")
     mark = _mark(e)
     while mark[0]:
-        e = stage(_small_star(stage(_large_star(e).distinct(), "edges")).distinct(), "edges")
+        e = stage(_small_star(_large_star(e).distinct()).distinct(), "edges")
         now = _mark(e)
         if now == mark:
             break

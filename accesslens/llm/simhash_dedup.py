@@ -205,8 +205,8 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     """
     keyed = distinct.select("node", "fp", F.explode(_keys(F.col("fp"), radius)).alias("key"))
     for level in (0, 1):
-        hot = stage(keyed.groupBy("key").count().where(F.col("count") > HOT_KEY).select("key", F.lit(True).alias("hot")), "hot-keys")
-        if hot.isEmpty():
+        hot = keyed.groupBy("key").count().where(F.col("count") > HOT_KEY).select("key", F.lit(True).alias("hot"))
+        if hot.isEmpty():  # as it mostly is; only where not, the counts are made again
             break
         marked = keyed.join(hot, "key", "left")
         key = F.when(F.col("hot"), _longer(F.col("key"), F.col("fp"), radius, level)).otherwise(F.array("key"))
