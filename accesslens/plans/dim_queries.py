@@ -48,11 +48,23 @@ def _ranges(v) -> DataFrame:
     sql("dim_range", 'SELECT lo, hi, isp AS code FROM dim_range WHERE prv % 8 <> 3'),
 )
 def dim_range_load(v):
-    """Nations 3 mod 8 lose their last field and with it their range."""
-    n = F.col("n_nationkey")
+    """Nations 3 mod 8 lose their last field and with it their range.
+
+    Every range also has an older line of another code, an inverted one, one with an end beyond all
+    addresses and one with a negative start.
+    """
+    n, lo, hi = F.col("n_nationkey"), F.col("lo").cast("string"), F.col("hi").cast("string")
     code = F.when(n % 8 != 3, (n % 9 + 11).cast("string"))
-    lines = _ranges(v).select(F.concat_ws(" ", F.col("lo").cast("string"), F.col("hi").cast("string"), code).alias("value"), "pos")
-    return dims.require_disjoint(dims.load_ranges(lines))
+    texts = [
+        F.concat_ws(" ", lo, hi, F.lit("99")),
+        F.concat_ws(" ", hi, lo, F.lit("98")),
+        F.concat_ws(" ", lo, F.lit("9000000000000000000 97")),
+        F.concat_ws(" ", F.lit("-1"), hi, F.lit("96")),
+        F.concat_ws(" ", lo, hi, code),
+    ]
+    kept = F.when(n % 8 == 3, F.slice(F.array(*texts), 2, 4)).otherwise(F.array(*texts))
+    lines = _ranges(v).select(F.posexplode(kept).alias("line", "value"), "pos")
+    return dims.load_ranges(lines.select("value", F.struct("pos", "line").alias("pos")))
 
 
 @register("dim_named_range_load", sql("dim_range", "SELECT lo, hi, isp, isp_name, prv, prv_name FROM dim_range"))

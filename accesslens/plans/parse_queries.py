@@ -127,13 +127,14 @@ part(
     "mapped dim_range",
     f"""
 SELECT h.* EXCLUDE (isp_, prv_), coalesce(isp_, 0)::varchar AS isp, coalesce(prv_, 0)::varchar AS prv
-FROM (SELECT m.*, r.isp AS isp_, r.prv AS prv_ FROM
+FROM (SELECT m.*, r.isp AS isp_, p.prv AS prv_ FROM
   (SELECT * EXCLUDE (ip), {HASH_IP} AS ip,
           'cnc-tj-010-000-' || lpad((node // 256)::varchar, 3, '0') || '-' || lpad((node % 256)::varchar, 3, '0') AS hname,
           CASE WHEN k % 4 = 0 THEN substr(path, length(host) + 1) ELSE split_part(url, '?', 1) END AS asked,
           167772160 + node AS hnode
    FROM mapped) m
-  LEFT JOIN dim_range r ON m.ip BETWEEN r.lo AND r.hi) h
+  LEFT JOIN dim_range r ON m.ip BETWEEN r.lo AND r.hi
+  LEFT JOIN dim_range p ON m.ip BETWEEN p.lo + 30000000 AND p.hi - 30000000) h
 """,
 )
 HASH_TAIL = f"""status, cs, '-' AS refer, {ua_device('agent')} AS ua, es, hit, {stamp('ts_sec')} AS timestmp, 0 AS dd,
