@@ -28,7 +28,7 @@ SEED = 17
 
 @dataclass(frozen=True)
 class Level:
-    """One level of the tree: a column and weights by its value; others share the weight of ``*``.
+    """One level of the tree: a column and weights by its value; others share the weight of ``*``, 0 if it has none.
 
     The number of leaves is bounded by the values listed, whatever the data hold.
     """
@@ -100,7 +100,8 @@ def mix(docs: DataFrame, levels: list[Level], budget_part: float, max_epochs: in
     last epoch of a leaf a document is taken if the tokens before it are under what is
     left, so a leaf exceeds its budget by less than one document.  Null, empty and blank texts
     have no tokens and cost nothing; a leaf without any tokens gives nothing.  Values not
-    listed, null among them, are one leaf value ``*``.  Repeated rows are taken one by one, ties
+    listed, null among them, are one leaf value ``*``, taken by its weight; a level that gives it none
+    leaves these rows out.  Repeated rows are taken one by one, ties
     in the order follow doc_id (null first) and then tokens.  An empty table gives no rows.
     """
     names = [f"level_{i}" for i in range(len(levels))]
@@ -140,17 +141,20 @@ def mix(docs: DataFrame, levels: list[Level], budget_part: float, max_epochs: in
 
 #: Domains of the sources, by the number in a source's name.
 DOMAINS = ("web", "books", "forum")
+#: Domain of sources without a number.
+UNNUMBERED = "other"
 
 
 def with_domain(docs: DataFrame) -> DataFrame:
     number = F.try_to_number(F.regexp_extract("source", r"(\d{1,9})$", 1), F.lit("999999999")).cast("int")
     names = F.array(*[F.lit(d) for d in DOMAINS])
-    return docs.withColumn("domain", F.element_at(names, number % len(DOMAINS) + 1))
+    return docs.withColumn("domain", F.when(number.isNull(), UNNUMBERED).otherwise(F.element_at(names, number % len(DOMAINS) + 1)))
 
 
+#: Weights of a level are relative to those of its values that occur; every level has a ``*``, so no row is without budget.
 LEVELS = [
-    Level("domain", {"web": 0.5, "books": 0.3, "forum": 0.2}),
-    Level("lang", {"en": 0.55, "de": 0.2, "fr": 0.15, "es": 0.1}),
+    Level("domain", {"web": 0.5, "books": 0.3, "forum": 0.2, UNNUMBERED: 0.2, OTHER: 0.1}),
+    Level("lang", {"en": 0.55, "de": 0.2, "fr": 0.15, "es": 0.1, OTHER: 0.1}),
     Level("source", {f"src{i}": 1.0 for i in range(20)} | {OTHER: 0.5}),
 ]
 BUDGET_PART = 0.6
