@@ -1,20 +1,22 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-Terms are lower-case words and the first five and six letters of longer ones.  The
-vocabulary is what a log-likelihood ratio ties to the label 1 on the examples; all other words of
-a text are one more term whose weight is the root of their number, so that one hit in
-a long text weighs less than five in a short one.  Examples lie in blocks; a term's
-largest weight in each block bounds the cosine there, and blocks are scored from the highest
-bound down until no bound reaches the k-th best.  Votes weigh by 1 / distance and a
-logistic curve, fitted on the examples with each left out of its own vote, turns them into
-probabilities.
+All labelled examples and all their words are in the index.  A word weighs its count times
+its inverse document frequency over all documents, times how strongly the labels of the examples tie it
+to either label (a likelihood ratio; a word without any tie keeps the factor 1, none has 0).  Words
+that no example holds count in a text's length only.  The most frequent words lie in a
+dense matrix, multiplied for many texts at once; the others in postings by block of examples, whose
+largest weights bound the cosine there: blocks whose bound is under the k-th best are skipped.
+Votes weigh by 1 / distance and a logistic curve, fitted on the examples with each left out of
+its own vote, turns them into probabilities.
 """
 
 from __future__ import annotations
 
 import math
+import pickle
 import re
 import sys
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,12 +30,14 @@ from accesslens.llm.common import crc_mod, slices, stage, table, texts
 
 #: Bound of the sample of labelled rows: those with the smallest hashes.
 EXAMPLES = 8000
-#: Bound of the vocabulary, by likelihood ratio.
-MAX_TERMS = 20_000
-MIN_RATIO = 16.0
-MIN_DOCS = 5
+#: Likelihood ratio that a word without a tie to the labels stays under in 95 of 100 cases.
+CHANCE = 3.84
 NEIGHBOURS = 15
-BLOCK = 64
+BLOCK = 512
+#: Most frequent words, kept as dense rows.
+DENSE = 512
+#: What 32-bit products and bounds may be off by; what lies within is computed again in 64 bits.
+SLACK = 2e-5
 #: Neighbours and terms named as evidence.
 EVIDENCE = 3
 _PIECE = 1 << 20
@@ -56,111 +60,133 @@ def words_of(text: str | None) -> list[str]:
     return words
 
 
-def term_counts(words: list[str]) -> Counter:
-    """Words and the beginnings of longer ones, with their counts."""
-    counts = Counter(words)
-    terms = Counter(counts)
-    for w, n in counts.items():
-        if len(w) >= 6:
-            terms["^" + w[:5]] += n
-            if len(w) >= 7:
-                terms["^" + w[:6]] += n
-    return terms
-
-
 def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(example, toxic, term, count) for a batch of (doc_id, toxic, text); the term ``#`` has the number of words."""
+    """(example, term, count) for a batch of (doc_id, toxic, text); the term ``""`` has the number of words, a line feed the label."""
     for b in slices(batches, 64):
         rows: list[tuple] = []
         for doc, toxic, text in zip(*(b.column(i).to_pylist() for i in range(3))):
             words = words_of(text)
-            rows.append((doc, toxic, "#", len(words)))
-            rows.extend((doc, toxic, t, c) for t, c in term_counts(words).items())
-        names = ["example", "toxic", "term", "count"]
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.string(), pa.int64()))], names=names)
+            rows += [(doc, "", len(words)), (doc, "\n", toxic)]
+            rows.extend((doc, t, c) for t, c in Counter(words).items())
+        kinds = {"example": pa.int64(), "term": pa.string(), "count": pa.int32()}
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds.values())], names=list(kinds))
 
 
-def _ratio(a, b, n: int, positive: int):
-    """Log-likelihood ratio of a term in b examples, a of them toxic."""
+def _ratio(a: np.ndarray, b: np.ndarray, n: int, positive: int) -> np.ndarray:
+    """Log-likelihood ratio of terms in b of n examples, a of them toxic; 0 if the examples have one label only."""
+    if positive in (0, n):
+        return np.zeros(len(b))
 
     def part(seen, expected):
-        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
+        return np.where(seen > 0, seen * np.log(np.maximum(seen, 1) / np.maximum(expected, 1e-300)), 0.0)
 
     p, q = positive / n, 1 - positive / n
-    return 2 * (part(a, b * p) + part(b - a, b * q) + part(positive - a, (n - b) * p) + part(n - positive - b + a, (n - b) * q))
+    return np.maximum(2 * (part(a, b * p) + part(b - a, b * q) + part(positive - a, (n - b) * p) + part(n - positive - b + a, (n - b) * q)), 0)
 
 
 @dataclass
 class Index:
-    """Unit vectors of the examples as postings by (term, block), and what scoring needs besides."""
+    """Unit vectors of the examples, by example and as postings by (term, block), and what scoring needs besides."""
 
     terms: dict[str, int]
-    idf: np.ndarray
+    idf: np.ndarray  # weight of one occurrence
+    other: float  # weight of an occurrence of any word that is no term
     ids: np.ndarray
     toxic: np.ndarray
-    rest: np.ndarray  # weight of the other words in each example
+    rest: np.ndarray  # weight of such words in each example
+    begin: np.ndarray  # terms and weights of an example: held[begin[example]], held_weight
+    held: np.ndarray
+    held_weight: np.ndarray
     start: np.ndarray  # postings of (term, block): start[term * blocks + block]
     row: np.ndarray
     weight: np.ndarray
     bound: np.ndarray  # largest weight by (term, block); the last term is the other words
-    prior: float  # toxic share of examples without any vocabulary term
+    dense: np.ndarray  # weights of frequent terms by (slot, example)
+    slot: np.ndarray  # slot of a term, -1 if it is not dense
+    prior: float  # toxic share of examples without any word
     names: list[str]
+    packed: bytes  # what all of this is made from
     slope: float = 1.0
     shift: float = 0.0
 
+    def __reduce__(self):
+        """Tasks are sent the counts, a tenth of the size, and make the rest from them."""
+        return _unpacked, (self.packed, self.slope, self.shift)
+
     @property
     def blocks(self) -> int:
         return -(-len(self.ids) // BLOCK)
 
-    def hits(self, words: list[str]) -> list[str]:
-        """The words that are vocabulary terms or begin with one."""
-        known = {w for w in set(words) if w in self.terms or len(w) >= 6 and ("^" + w[:5] in self.terms or "^" + w[:6] in self.terms)}
-        return [w for w in words if w in known] if known else []
-
     def vector(self, terms: Counter, words: int) -> tuple[np.ndarray, np.ndarray, float] | None:
-        """Terms, unit weights and the weight of the other words; None without a vocabulary term."""
+        """Terms, unit weights and the weight of the other words; None without a term of the index."""
         hits = [(self.terms[t], c) for t, c in terms.items() if t in self.terms]
         if not hits:
             return None
-        t = np.array([h[0] for h in hits])
-        w = np.array([h[1] for h in hits]) * self.idf[t]
-        norm = math.sqrt(float(w @ w) + words)
-        return t, w / norm, math.sqrt(words) / norm
+        t, c = np.array(sorted(hits)).T
+        w = c * self.idf[t]
+        rest = max(words - int(c.sum()), 0) * self.other**2
+        norm = math.sqrt(float(w @ w) + rest)
+        return t, w / norm, math.sqrt(rest) / norm
 
     def nearest(self, vector, k: int = NEIGHBOURS, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and cosines of the k nearest examples, ties to the smaller row; exact.
-
-        Blocks are scored in rounds from the highest bound down; each round has twice as many.
-        """
+        """Rows and cosines of the k nearest examples, ties to the smaller row; exact."""
+        return next(self.nearest_of([vector], k, [without]))
+
+    def nearest_of(self, vectors: list, k: int = NEIGHBOURS, without: list[int] | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """``nearest`` for each vector; the dense products of all are made at once."""
+        part = np.zeros((len(vectors), len(self.dense)), dtype=np.float32)
+        for i, (t, w, _) in enumerate(vectors):
+            slots = self.slot[t]
+            part[i, slots[slots >= 0]] = w[slots >= 0]
+        product = part @ self.dense
+        scratch = np.zeros(len(self.idf))
+        for i, vector in enumerate(vectors):
+            yield self._nearest(vector, product[i].astype(float), k, without[i] if without else -1, scratch)
+
+    def _nearest(self, vector, got: np.ndarray, k: int, without: int, scratch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``got``: products with the dense terms; ``scratch``: zeros by term, left as zeros."""
         t, w, rest = vector
-        bounds = w @ self.bound[t] + rest * self.bound[-1]
+        if not len(got):
+            return np.empty(0, dtype=np.int64), np.empty(0)
+        got += rest * self.rest
+        if without >= 0:
+            got[without] = -np.inf
+        rare = self.slot[t] < 0
+        rare_t, rare_w = t[rare], w[rare]
+        bounds = np.maximum.reduceat(got, np.arange(0, len(got), BLOCK)) + rare_w @ self.bound[rare_t]
         order = np.argsort(-bounds, kind="stable")
-        rows, cosines = np.empty(0, dtype=np.int64), np.empty(0)
-        at, size = 0, 2
+        want = min(k, len(got) - (without >= 0))
+        if want < 1:
+            return np.empty(0, dtype=np.int64), np.empty(0)
+        best, at, size = np.empty(0, dtype=np.int64), 0, 1
+        floor = -np.inf  # under the k-th best
         while at < len(order):
             blocks = order[at : at + size]
-            if len(rows) == k:
-                blocks = blocks[bounds[blocks] >= cosines[-1] - 1e-12]
-                if not len(blocks):
-                    break
-            more, got = self._scores(t, w, rest, blocks)
-            rows, cosines = np.concatenate([rows, more[more != without]]), np.concatenate([cosines, got[more != without]])
-            best = np.lexsort((rows, -cosines))[:k]
-            rows, cosines = rows[best], cosines[best]
-            at, size = at + size, 2 * size
-        return rows, cosines
-
-    def _scores(self, t: np.ndarray, w: np.ndarray, rest: float, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rows of some blocks and their cosines, from the postings of the terms there."""
-        rows = (blocks[:, None] * BLOCK + np.arange(BLOCK)).reshape(-1)
-        inside = rows < len(self.ids)
-        got = np.where(inside, rest * self.rest[np.where(inside, rows, 0)], 0)
+            blocks = blocks[bounds[blocks] >= floor]
+            if not len(blocks):
+                break
+            got += self._rare(rare_t, rare_w, blocks)
+            best = np.concatenate([best, (blocks[:, None] * BLOCK + np.arange(BLOCK)).reshape(-1)])
+            best = best[best < len(got)]
+            if len(best) >= want:
+                floor = np.partition(got[best], len(best) - want)[len(best) - want] - SLACK
+                best = best[got[best] >= floor]
+            at, size = at + size, 3 * size
+        best = np.sort(best[got[best] > -np.inf])
+        scratch[t] = w
+        first, count = self.begin[best], self.begin[best + 1] - self.begin[best]
+        i = np.arange(count.sum()) + np.repeat(first - np.cumsum(count) + count, count)
+        cosines = np.add.reduceat(scratch[self.held[i]] * self.held_weight[i], np.cumsum(count) - count) + rest * self.rest[best]
+        scratch[t] = 0
+        top = np.lexsort((best, -cosines))[:k]
+        return best[top], cosines[top]
+
+    def _rare(self, t: np.ndarray, w: np.ndarray, blocks: np.ndarray) -> np.ndarray:
+        """Products of the terms that are not dense with all examples of some blocks, from the postings there."""
         cells = (t[:, None] * self.blocks + blocks).reshape(-1)
         first, count = self.start[cells], self.start[cells + 1] - self.start[cells]
         i = np.arange(count.sum()) + np.repeat(first - np.cumsum(count) + count, count)
-        slot = np.repeat(np.tile(np.arange(len(blocks)), len(t)), count)
-        np.add.at(got, slot * BLOCK + self.row[i] % BLOCK, self.weight[i] * np.repeat(np.repeat(w, len(blocks)), count))
-        return rows[inside], got[inside]
+        return np.bincount(self.row[i], self.weight[i] * np.repeat(np.repeat(w, len(blocks)), count), len(self.ids))
 
     def vote(self, rows: np.ndarray, cosines: np.ndarray) -> float:
         if not len(rows):
@@ -168,16 +194,24 @@ class Index:
         w = 1 / (1.0001 - np.minimum(cosines, 1))
         return float((w * self.toxic[rows]).sum() / w.sum())
 
+    def score_of(self, texts: list[str | None]) -> list[tuple[float, list[int], list[str]]]:
+        """For each text: probability, doc_ids of the nearest examples, and its strongest terms."""
+        counts = [Counter(words_of(t)) for t in texts]
+        vectors = [self.vector(c, c.total()) for c in counts]
+        found = self.nearest_of([v for v in vectors if v])
+        out = []
+        for v in vectors:
+            if v is None:
+                out.append((self.prior, [], []))
+                continue
+            rows, cosines = next(found)
+            p = 1 / (1 + math.exp(-(self.slope * _logit(self.vote(rows, cosines)) + self.shift)))
+            strongest = np.lexsort((-v[0], -v[1]))[:EVIDENCE]
+            out.append((p, self.ids[rows[:EVIDENCE]].tolist(), [self.names[i] for i in v[0][strongest]]))
+        return out
+
     def score(self, text: str | None) -> tuple[float, list[int], list[str]]:
-        """Probability, doc_ids of the nearest examples, and the terms found."""
-        words = words_of(text)
-        vector = self.vector(term_counts(self.hits(words)), len(words))
-        if vector is None:
-            return self.prior, [], []
-        rows, cosines = self.nearest(vector)
-        p = 1 / (1 + math.exp(-(self.slope * _logit(self.vote(rows, cosines)) + self.shift)))
-        strongest = sorted(zip(vector[1], vector[0]), reverse=True)[:EVIDENCE]
-        return p, self.ids[rows[:EVIDENCE]].tolist(), [self.names[i] for _, i in strongest]
+        return self.score_of([text])[0]
 
 
 def _logit(p: float) -> float:
@@ -198,85 +232,132 @@ def _calibrate(votes: list[float], toxic: list[int]) -> tuple[float, float]:
     return max(float(theta[0]), 0.05), float(theta[1])
 
 
-def build(terms: dict[str, tuple[int, float]], examples: list[tuple[int, int, int, list[tuple[str, int]]]]) -> Index:
-    """Index of (doc_id, toxic, words, [(term, count)]); ``terms``: term -> (number, idf)."""
-    idf = np.zeros(len(terms))
-    for i, x in terms.values():
-        idf[i] = x
-    number = {t: i for t, (i, _) in terms.items()}
-    empty = [e for e in examples if not e[3]]
-    prior = (sum(e[1] for e in empty) + 0.5) / (len(empty) + 10)
+def build(terms: dict[str, tuple[int, float]], examples: list[tuple[int, int, int, list[tuple[str, int]]]], other: float = 1.0) -> Index:
+    """Index of (doc_id, toxic, words, [(term, count)]); ``terms``: term -> (number, weight)."""
+    names = sorted(terms, key=lambda t: terms[t][0])
+    head = [np.array([e[i] for e in examples], dtype=np.int64) for i in range(3)]
+    sizes = [len(e[3]) for e in examples]
+    t = np.array([terms[x][0] for e in examples for x, _ in e[3]], dtype=np.int64)
+    c = np.array([x for e in examples for _, x in e[3]], dtype=float)
+    return _index(names, np.array([terms[x][1] for x in names]), other, *head, np.repeat(np.arange(len(examples)), sizes), t, c)
+
+
+def _unpacked(packed: bytes, slope: float = 1.0, shift: float = 0.0) -> Index:
+    """Index from its pickled and deflated parts; the terms of the examples follow one another."""
+    names, idf, other, ids, toxic, words, size, t, c, prior = pickle.loads(zlib.decompress(packed))
+    n, blocks = len(ids), -(-len(ids) // BLOCK)
+    begin = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+    row = np.repeat(np.arange(n, dtype=np.int32), size)
+    others = np.maximum(words - np.bincount(row, c, n), 0) * other**2
+    weight = c * idf[t]
+    norm = np.sqrt(np.bincount(row, weight * weight, n) + others)
+    rest = np.sqrt(others) / norm
+    weight /= norm[row]
+    held, held_weight = t, weight
+    by = np.argsort(t, kind="stable")
+    t, row, weight = t[by], row[by], weight[by]
+    cell = t.astype(np.int64) * blocks + row // BLOCK
+    start = np.concatenate([[0], np.cumsum(np.bincount(cell, minlength=len(names) * blocks))]).astype(np.int32)
+    bound = np.zeros((len(names) + 1, blocks), dtype=np.float32)
+    np.maximum.at(bound.reshape(-1), cell, weight.astype(np.float32))
+    np.maximum.at(bound[-1], np.arange(n) // BLOCK, rest.astype(np.float32))
+    frequent = np.argsort(-np.bincount(t, minlength=len(names)), kind="stable")[:DENSE]
+    slot = np.full(len(names), -1, dtype=np.int32)
+    slot[frequent] = np.arange(len(frequent))
+    dense = np.zeros((len(frequent), n), dtype=np.float32)
+    inside = slot[t] >= 0
+    dense[slot[t[inside]], row[inside]] = weight[inside]
+    number = {x: i for i, x in enumerate(names)}
+    return Index(number, idf, other, ids, toxic, rest, begin, held, held_weight, start, row, weight, bound, dense, slot, prior, names, packed, slope, shift)
+
+
+def _index(names: list[str], idf: np.ndarray, other: float, ids: np.ndarray, toxic: np.ndarray, words: np.ndarray, at: np.ndarray, t: np.ndarray, c: np.ndarray) -> Index:
+    """Index of examples by id; example ``at`` holds term ``t`` ``c`` times."""
+    size = np.bincount(at, minlength=len(ids))
+    empty = size == 0
+    prior = (int(toxic[empty].sum()) + 0.5) / (int(empty.sum()) + 10)
     # examples with the same strongest term share blocks: bounds are tight
-    full = [e for e in examples if e[3]]
-    strongest = {e[0]: max((c * idf[number[t]], -number[t]) for t, c in e[3]) for e in full}
-    full.sort(key=lambda e: (-strongest[e[0]][1], -strongest[e[0]][0], e[0]))
-    blocks = -(-len(full) // BLOCK)
-    rest = np.zeros(len(full))
-    bound = np.zeros((len(terms) + 1, blocks))
-    postings = []
-    for row, (_, _, words, found) in enumerate(full):
-        t = np.array([number[x] for x, _ in found])
-        w = np.array([c for _, c in found]) * idf[t]
-        norm = math.sqrt(float(w @ w) + words)
-        rest[row] = math.sqrt(words) / norm
-        postings += [(i, row, x) for i, x in zip(t.tolist(), (w / norm).tolist())]
-        np.maximum.at(bound, (t, row // BLOCK), w / norm)
-        bound[-1, row // BLOCK] = max(bound[-1, row // BLOCK], rest[row])
-    postings.sort()
-    row = np.array([p[1] for p in postings], dtype=np.int64)
-    cell = np.array([p[0] for p in postings], dtype=np.int64) * blocks + row // BLOCK
-    start = np.searchsorted(cell, np.arange(len(terms) * blocks + 1))
-    index = Index(
-        number,
-        idf,
-        np.array([e[0] for e in full], dtype=np.int64),
-        np.array([e[1] for e in full], dtype=np.int64),
-        rest,
-        start,
-        row,
-        np.array([p[2] for p in postings]),
-        bound,
-        prior,
-        sorted(number, key=number.get),
-    )
-    votes = []
-    for i, (_, _, words, found) in enumerate(full):
-        v = index.vector(Counter(dict(found)), words)
-        votes.append(index.vote(*index.nearest(v, without=i)))
+    w = c * idf[t]
+    by = np.lexsort((t, -w, at))
+    strongest, most = np.zeros(len(ids), dtype=np.int64), np.zeros(len(ids))
+    at_first = by[np.flatnonzero(np.diff(at[by], prepend=-1))]
+    strongest[at[at_first]], most[at[at_first]] = t[at_first], w[at_first]
+    full = np.lexsort((ids, -most, strongest))
+    full = full[~empty[full]]
+    new = np.full(len(ids), -1, dtype=np.int32)
+    new[full] = np.arange(len(full))
+    by = np.lexsort((t, new[at]))
+    parts = (names, idf, other, ids[full], toxic[full], words[full], size[full], t[by].astype(np.int32), c[by].astype(np.int32), prior)
+    index = _unpacked(zlib.compress(pickle.dumps(parts), 1))
+    n, begin, held, held_weight, rest = len(full), index.begin, index.held, index.held_weight, index.rest
+    votes: list[float] = []
+    for lo in range(0, n, 256):
+        rows = range(lo, min(lo + 256, n))
+        own = [slice(begin[i], begin[i + 1]) for i in rows]
+        vectors = [(held[x].astype(np.int64), held_weight[x], float(rest[i])) for i, x in zip(rows, own)]
+        votes += [index.vote(*found) for found in index.nearest_of(vectors, without=list(rows))]
     if votes:
         index.slope, index.shift = _calibrate(votes, index.toxic.tolist())
     return index
 
 
+def _frequencies(docs: DataFrame, names: list[str]) -> np.ndarray:
+    """Documents that hold each term, and last the documents; a task counts by itself and hands on its sums."""
+    shared = docs.sparkSession.sparkContext.broadcast({x: i for i, x in enumerate(names)})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = shared.value
+        held = np.zeros(len(number) + 1, dtype=np.int64)
+        for b in slices(batches):
+            for text in b.column(0).to_pylist():
+                held[[number[x] for x in set(words_of(text)) if x in number]] += 1
+            held[-1] += b.num_rows
+        some = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(held[some])], names=["term", "docs"])
+
+    sums = docs.select("text").mapInArrow(run, "term int, docs long").groupBy("term").agg(F.sum("docs").alias("docs")).toArrow()
+    out = np.zeros(len(names) + 1)
+    out[sums["term"].to_numpy()] = sums["docs"].to_numpy()
+    return out
+
+
 def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, id_col: str = "doc_id", text_col: str = "text") -> Index:
     """Index of at most ``examples`` labelled documents; the held-out fifth of the ids is never read.
 
     A doc_id labelled twice is toxic if any of its labels is.  Null ids, null labels and labels
     without a document are left out; of repeated documents the one with the smallest text counts.
+    Document frequencies are those of all documents, held-out ones included: they need no label.
     """
     y = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("long").alias("toxic"))
     y = y.where("toxic is not null").where(crc_mod("doc_id", 5) != 0).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     y = y.orderBy(F.xxhash64("doc_id"), "doc_id").limit(examples)
-    rows = texts(docs, id_col, text_col).join(F.broadcast(y), "doc_id").select("doc_id", "toxic", "text")
+    all_docs = texts(docs, id_col, text_col)
+    rows = all_docs.join(F.broadcast(y), "doc_id").select("doc_id", "toxic", "text")
     rows = rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
-    found = stage(rows.mapInArrow(_term_rows, "example long, toxic long, term string, count long"), "toxic-terms")
-    n, positive = found.where("term = '#'").agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    if not n or positive in (0, n):
-        return build({}, [(r["example"], r["toxic"], 0, []) for r in found.where("term = '#'").collect()])
-    a, b = F.sum("toxic").cast("double"), F.count("*").cast("double")
-    stats = found.where("term <> '#'").groupBy("term").agg(a.alias("a"), b.alias("b")).where(F.col("b") >= MIN_DOCS)
-    stats = stats.withColumn("ratio", _ratio(F.col("a"), F.col("b"), n, positive))
-    chosen = stats.where((F.col("ratio") > MIN_RATIO) & (F.col("a") / F.col("b") > positive / n))
-    chosen = chosen.orderBy(F.desc("ratio"), "term").limit(MAX_TERMS).collect()
-    terms = {r["term"]: (i, math.log(1 + n / r["b"])) for i, r in enumerate(chosen)}
-    wanted = found.sparkSession.createDataFrame([(t,) for t in [*terms, "#"]], "term string")
-    held = found.join(F.broadcast(wanted), "term").groupBy("example", "toxic")
-    held = held.agg(F.collect_list(F.struct("term", "count")).alias("terms")).collect()  # examples x few terms
-    table = []
-    for r in sorted(held, key=lambda r: r["example"]):
-        counts = sorted((x["term"], x["count"]) for x in r["terms"])
-        table.append((r["example"], r["toxic"], dict(counts)["#"], [x for x in counts if x[0] != "#"]))
-    return build(terms, table)
+    found = stage(rows.mapInArrow(_term_rows, "example long, term string, count int"), "toxic-terms").toArrow()
+    example, count = found["example"].to_numpy(), found["count"].to_numpy()
+    coded = found["term"].dictionary_encode().unify_dictionaries()
+    codes = np.concatenate([np.empty(0, dtype=np.int32), *[x.indices.to_numpy() for x in coded.chunks]])
+    names = coded.chunk(0).dictionary.to_pylist() if coded.num_chunks else []
+    del found, coded
+    order = np.array(sorted(range(len(names)), key=names.__getitem__), dtype=np.int64)  # "" and the line feed come first
+    number = np.empty(len(order), dtype=np.int32)
+    number[order] = np.arange(len(order)) - 2
+    names = [names[i] for i in order[2:]]
+    t = number[codes]
+    heads, marks = np.flatnonzero(t == -2), np.flatnonzero(t == -1)
+    heads, marks = heads[np.argsort(example[heads])], marks[np.argsort(example[marks])]
+    ids, y, words = example[heads], count[marks].astype(np.int64), count[heads]
+    some = np.flatnonzero(t >= 0)
+    at, t, c = np.searchsorted(ids, example[some]), t[some], count[some]
+    del example, count, codes, some
+    n, positive = len(ids), int(y.sum())
+    if not names:
+        return _index([], np.zeros(0), 1.0, ids, y, words, at, t, c)
+    *held, total = _frequencies(all_docs, names)
+    ratio = _ratio(np.bincount(t, y[at], len(names)), np.bincount(t, minlength=len(names)).astype(float), n, positive)
+    idf = np.log(1 + total / np.maximum(held, 1)) * (1 + ratio / CHANCE)
+    return _index(names, idf, math.log(1 + n), ids, y, words, at, t, c)
 
 
 SCORED = "doc_id long, held_out boolean, score double, predicted int, neighbours array<long>, terms array<string>"
@@ -285,15 +366,15 @@ SCORED = "doc_id long, held_out boolean, score double, predicted int, neighbours
 def score(docs: DataFrame, index: Index, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Score, decision and evidence for every input row, read from its text alone.
 
-    Null and empty texts, and texts without a vocabulary term, get the smoothed share of toxic examples
-    of that kind and no evidence.  Repeated rows get a row each; held_out is null for a null doc_id.
+    Null and empty texts, and texts without a word of any example, get the smoothed share of toxic examples
+    without words and no evidence.  Repeated rows get a row each; held_out is null for a null doc_id.
     An empty table gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            got = [shared.value.score(t) for t in b.column(1).to_pylist()]
+            got = shared.value.score_of(b.column(1).to_pylist())
             p = [x[0] for x in got]
             arrays = [b.column(0), b.column(2), pa.array(p, pa.float64()), pa.array([int(x >= 0.5) for x in p], pa.int32())]
             arrays += [pa.array([x[1] for x in got], pa.list_(pa.int64())), pa.array([x[2] for x in got], pa.list_(pa.string()))]
@@ -310,7 +391,7 @@ def toxicity_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            yield b.filter(pa.array([shared.value.score(t)[0] < 0.5 for t in b.column(at).to_pylist()], pa.bool_()))
+            yield b.filter(pa.array([x[0] < 0.5 for x in shared.value.score_of(b.column(at).to_pylist())], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 
