@@ -20,15 +20,27 @@ KEY = "accesslens"
 #: Days that dates are permuted in: from 1900-01-01, as 270 x 272 (up to 2101-01-26).
 FIRST_DAY, DAYS = "1900-01-01", (270, 272)
 
+#: Countries by the length of their account numbers; what follows such a number is not part of it.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK|FI|NL", 19: "SI", 20: "AT|EE|LT|LU", 21: "CH|HR|LI|LV", 22: "BG|DE|GB|IE",
+    24: "CZ|ES|RO|SE|SK", 25: "PT", 27: "FR|GR|IT", 28: "CY|HU|PL",
+}
+_IBANS = "|".join(
+    rf"(?:{names})\d{{2}}(?: ?[A-Z0-9]{{4}}){{{(n - 4) // 4}}}" + (rf" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "") + r"(?!\w)" for n, names in IBAN_LENGTHS.items()
+)
+#: Country codes of telephone numbers; all others have three digits.
+DIALLING = r"^(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
+
 #: Fixed formats by kind, in order of preference where several begin at one place.
 FORMATS = {
     "email": r"(?<![\w.%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
-    "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
+    "iban": rf"(?<!\w)(?:{_IBANS})|" + r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
     "date": r"(?<![\w/-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\w/-]|\.\d)",
     "ip": r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "phone": r"(?<![\w+])\+\d{1,3}[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\w)"
-    r"|(?<!\w)\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\w)|(?<![\w-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])",
+    r"|(?<!\w)\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\w)|(?<![\w-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])"
+    r"|(?<![\w+])\+[1-9](?:[ .()-]{0,2}\d){7,14}(?!\w)|(?<![\w-])1[ .-]\d{3}[ .-]\d{3}[ .-]\d{4}(?![\w-])",
     "card": r"(?<!\w)(?:\d{13,19}|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?!\w)",
 }
 PATTERN = "|".join(FORMATS.values())
@@ -39,7 +51,7 @@ SHAPES = {
     "date": r"^(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})$",
     "ip": r"^\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}$",
     "ssn": r"^\d{3}-\d{2}-\d{4}$",
-    "phone": r"^[+(]|^\d{3}[.-]\d{3}[.-]\d{4}$",
+    "phone": r"^[+(]|^(?:1[ .-]\d{3}[ .-]|\d{3}[.-])\d{3}[ .-]\d{4}$",
 }
 
 
@@ -162,8 +174,8 @@ def _ssn(value: Column, key: str) -> Column:
 
 def _phone(value: Column, key: str) -> Column:
     digits = _digits(value)
-    n = F.length(digits)
-    code, rest = F.substr(digits, F.lit(1), n - 10), F.substr(digits, n - 9, F.lit(10))
+    code = F.when(value.startswith("+"), F.regexp_extract(digits, DIALLING, 0)).otherwise(F.substr(digits, F.lit(1), F.length(digits) - 10))
+    rest = F.substr(digits, F.length(code) + 1, F.length(digits))
     return _refill(value, F.concat(code, permute_digits(rest, F.lit("phone"), key)))
 
 
