@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("mixing", "sharding", "simhash_dedup", "secret_ledger", "column_bwt", "nearest_toxic", "language_mixture", "decontamination", "feistel_pii", "multi_index_ann")
+MODULES = ("mixing", "sharding", "simhash_dedup", "secret_ledger", "column_bwt", "nearest_toxic", "language_mixture", "decontamination", "feistel_pii", "multi_index_ann", "sequences", "centroids", "whitening")
 
 
 def _merged(name: str) -> dict:
