@@ -3,10 +3,11 @@
 No lookup forces a broadcast.  The planner broadcasts a dimension while its
 size stays under ``spark.sql.autoBroadcastJoinThreshold`` and AQE re-checks the
 measured size; a larger one becomes a shuffled join, whose hot keys AQE splits.
-A job that measures its dimensions first (``Dims.measured``) decides by their bytes.
-Range tables are cut into address pieces that cannot overlap first, so the range
-lookup is an equi join in both cases.  All lookups are left joins on unique keys or
-disjoint pieces: they never change the number of rows.
+A job that keeps its dimensions (``Dims.measured``) decides by their counted bytes.
+Range tables are cut into address pieces that cannot overlap and gathered into one
+row per block of addresses, so a range lookup is an equi join on a unique key, and a binary
+search inside the row that it finds.  All lookups are left joins on unique keys: they
+never change the number of rows.
 """
 
 from __future__ import annotations
@@ -116,9 +117,59 @@ def pieces(tables: dict[str, DataFrame], fill: bool = False) -> DataFrame:
     return _blocks(found, BLOCK_BITS)
 
 
-def _in_piece(ip: str) -> Column:
-    at = F.col(ip)
-    return (F.shiftright(at, BLOCK_BITS) == F.col("_block")) & (F.col("_lo") <= at) & (at <= F.col("_hi"))
+def by_block(cut: DataFrame) -> DataFrame:
+    """Pieces as one row per block: begins and ends inside the block in order, and an array of each value column.
+
+    A block has 2^16 addresses, so no row holds more pieces than that.
+    """
+    names = [c for c in cut.columns if c not in ("_block", "_lo", "_hi")]
+    inside = lambda c: F.col(c).bitwiseAND((1 << BLOCK_BITS) - 1).cast("int").alias(c)
+    held = F.array_sort(F.collect_list(F.struct(inside("_lo"), inside("_hi"), F.struct(*names).alias("_v"))))
+    grouped = cut.groupBy("_block").agg(held.alias("_p"))
+    return grouped.select(
+        "_block", F.col("_p._lo").alias("_begins"), F.col("_p._hi").alias("_ends"), *[F.col(f"_p._v.{n}").alias(n) for n in names]
+    )
+
+
+def _place(at: Column) -> Column:
+    """Position of the last begin that is not behind ``at``, by halves; -1 before the first."""
+    halves = F.array(*[F.lit(1 << b) for b in range(BLOCK_BITS, -1, -1)])
+    step = lambda place, half: F.when(F.get("_begins", place + half) <= at, place + half).otherwise(place)
+    return F.when(F.size("_begins") == 1, F.lit(0)).otherwise(F.aggregate(halves, F.lit(-1), step))
+
+
+def _find(df: DataFrame, blocks: DataFrame, ip: str, outs: dict[str, str], defaults: dict[str, Column]) -> DataFrame:
+    """Columns ``outs`` (output -> value column of a table by block) for an address."""
+    dim = blocks.select("_block", "_begins", "_ends", *dict.fromkeys(outs.values()))
+    joined = df.join(dim, F.shiftright(F.col(ip), BLOCK_BITS) == F.col("_block"), "left")
+    at = F.col(ip).bitwiseAND((1 << BLOCK_BITS) - 1).cast("int")
+    joined = joined.withColumn("_at", at).withColumn("_place", _place(F.col("_at")))
+    inside = (F.col("_at") >= F.get("_begins", F.col("_place"))) & (F.col("_at") <= F.get("_ends", F.col("_place")))
+    found = {o: F.coalesce(F.when(inside, F.get(c, F.col("_place"))), defaults[o]) for o, c in outs.items()}
+    return _with(joined, df, found)
+
+
+def _range_table(ranges: DataFrame, columns: list[str]) -> DataFrame:
+    if "_block" in ranges.columns:
+        return ranges
+    values = F.struct(*[F.col(c).alias(f"_{c}") for c in columns])
+    cut = pieces({"_found": ranges.select("lo", "hi", values.alias("value"))})
+    return by_block(cut.select("_block", "_lo", "_hi", "_found.*"))
+
+
+def code_table(ranges: DataFrame) -> DataFrame:
+    """Ranges ``(lo, hi, code)`` by block, codes as text."""
+    if "_block" in ranges.columns:
+        return ranges
+    return _range_table(ranges.select("lo", "hi", F.col("code").cast("string").alias("code")), ["code"])
+
+
+NAMED = ["isp", "isp_name", "prv", "prv_name"]
+
+
+def named_table(ranges: DataFrame) -> DataFrame:
+    """Named ranges by block."""
+    return _range_table(ranges, NAMED)
 
 
 def with_range(
@@ -126,26 +177,23 @@ def with_range(
 ) -> DataFrame:
     """Left range lookup ``lo <= ip <= hi`` (both inclusive) on ``ip``.
 
-    ``columns`` maps range-table columns to output names; ``defaults`` fills
-    addresses no range covers.
+    ``ranges`` are ranges or a table by block made of them.  ``columns`` maps range-table
+    columns to output names; ``defaults`` fills addresses no range covers.
     """
-    values = F.struct(*[F.col(src).alias(out) for src, out in columns.items()])
-    dim = pieces({"_found": ranges.select("lo", "hi", values.alias("value"))})
-    outs = {o: F.coalesce(F.col(f"_found.{o}"), defaults[o]) for o in columns.values()}
-    return _with(df.join(dim, _in_piece(ip), "left"), df, outs)
+    blocks = _range_table(ranges, list(columns))
+    return _find(df, blocks, ip, {out: f"_{c}" for c, out in columns.items()}, defaults)
 
 
 def with_code(df: DataFrame, ranges: DataFrame, out: str, ip: str = "ip") -> DataFrame:
     """Address to code as text; ``0`` when no range covers it."""
-    coded = ranges.select("lo", "hi", F.col("code").cast("string").alias("code"))
-    return with_range(df, coded, ip, {"code": out}, {out: F.lit("0")})
+    return with_range(df, code_table(ranges), ip, {"code": out}, {out: F.lit("0")})
 
 
 PLACE = ("isp", "prv", "area_pid", "area_cid")
 
 
 def place_table(isp: DataFrame, prv: DataFrame, area: DataFrame | None = None) -> DataFrame:
-    """Isp, province and area of every IPv4 address, as pieces: one lookup for all four.
+    """Isp, province and area of every IPv4 address, by block: one lookup for all four.
 
     Uncovered addresses have code ``0``, and its area if there is one.
     """
@@ -153,17 +201,16 @@ def place_table(isp: DataFrame, prv: DataFrame, area: DataFrame | None = None) -
     cut = pieces(tables, fill=True)
     cut = cut.select("_block", "_lo", "_hi", F.coalesce("_isp", F.lit("0")).alias("_isp"), F.coalesce("_prv", F.lit("0")).alias("_prv"))
     if area is None:
-        return cut.withColumns({"_area_pid": F.lit("0"), "_area_cid": F.lit("0")})
+        return by_block(cut.withColumns({"_area_pid": F.lit("0"), "_area_cid": F.lit("0")}))
     ids = area.select(F.col("area_id").alias("_prv"), F.col("area_pid").alias("_area_pid"), F.col("area_cid").alias("_area_cid"))
     found = cut.join(ids, "_prv", "left")
-    return found.withColumns({c: F.coalesce(c, F.lit("0")) for c in ("_area_pid", "_area_cid")})
+    filled = {c: F.coalesce(c, F.lit("0")) for c in ("_area_pid", "_area_cid")}
+    return by_block(found.withColumns(filled).select(*cut.columns, *filled))
 
 
 def with_place(df: DataFrame, places: DataFrame, columns: tuple[str, ...] = ("isp", "prv"), ip: str = "ip") -> DataFrame:
     """Add columns of ``PLACE`` for an address; ``0`` where it has none."""
-    dim = places.select("_block", "_lo", "_hi", *[f"_{c}" for c in columns])
-    outs = {c: F.coalesce(F.col(f"_{c}"), F.lit("0")) for c in columns}
-    return _with(df.join(dim, _in_piece(ip), "left"), df, outs)
+    return _find(df, places, ip, {c: f"_{c}" for c in columns}, {c: F.lit("0") for c in columns})
 
 
 def locate(df: DataFrame, dims: Dims, columns: tuple[str, ...] = ("isp", "prv")) -> DataFrame:

@@ -136,7 +136,7 @@ def fn_speed(v):
     ),
 )
 def fn_hit_type(v):
-    rows = enrich.flag_parent(v.events(), v.parents)
+    rows = enrich.flag_parent(v.events(), v.dims.parents)
     kind = speed.hit_type(
         F.col("hit"), F.col("up"), speed.first_word_has_hit(F.col("fv")), F.col("up_is_parent")
     )

@@ -32,7 +32,7 @@ def stored(v, df: DataFrame, name: str) -> DataFrame:
 # ---------------------------------------------------------- stored roll-ups
 @register("scan_rollup_range", f"SELECT * FROM ({hit_sql(ON_TIME, minute('ts_sec'))}) WHERE {IN_RANGE}")
 def scan_rollup_range(v):
-    return stored(v, rollups.hit_traffic_1m(v.hit_rows(), v.area), "hits").drop("hour")
+    return stored(v, rollups.hit_traffic_1m(v.hit_rows(), v.dims.area), "hits").drop("hour")
 
 
 @register(
@@ -45,7 +45,7 @@ def scan_rollup_range(v):
       FROM ({hit_sql(ON_TIME, minute('ts_sec'))}) WHERE {IN_RANGE} GROUP BY ALL)""",
 )
 def hit_traffic_rollup(v):
-    read = stored(v, rollups.hit_traffic_1m(v.hit_rows(), v.area), "hits")
+    read = stored(v, rollups.hit_traffic_1m(v.hit_rows(), v.dims.area), "hits")
     return rollups.hit_traffic_rollup(read, timing.rollup_label("hour", START, STOP))
 
 
@@ -59,7 +59,7 @@ def hit_traffic_rollup(v):
     ),
 )
 def status_rollup(v):
-    read = stored(v, rollups.status_traffic_1s(v.located(v.owned()), v.area), "status")
+    read = stored(v, rollups.status_traffic_1s(v.located(v.owned()), v.dims.area), "status")
     return rollups.status_rollup(read, timing.rollup_label("five", START, STOP))
 
 

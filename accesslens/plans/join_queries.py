@@ -14,13 +14,13 @@ from accesslens.plans.view import PRV_SHIFT
 # -------------------------------------------------------------------- lookups
 @register("join_domain", sql("mapped", "SELECT event_id, host, domain FROM mapped"))
 def join_domain(v):
-    return enrich.map_domain(v.log(), v.domains).select("event_id", "host", "domain")
+    return enrich.map_domain(v.log(), v.owners).select("event_id", "host", "domain")
 
 
 @register("join_domain_user", sql("mapped", "SELECT event_id, domain, coalesce(userid, '') AS userid FROM mapped"))
 def join_domain_user(v):
-    named = enrich.map_domain(v.log(), v.domains).select("event_id", "domain")
-    return enrich.domain_owner(named, v.domains)
+    named = enrich.map_domain(v.log(), v.owners).select("event_id", "domain")
+    return enrich.domain_owner(named, v.owners)
 
 
 @register(
@@ -32,8 +32,8 @@ def join_domain_user(v):
     ),
 )
 def join_area(v):
-    rows = enrich.with_code(v.events().select("event_id", "ip"), v.prv_ranges, "city")
-    return enrich.with_area(rows, v.area, "city", "prv", "country").select("event_id", "city", "prv", "country")
+    rows = enrich.with_code(v.events().select("event_id", "ip"), v.dims.prv, "city")
+    return enrich.with_area(rows, v.dims.area, "city", "prv", "country").select("event_id", "city", "prv", "country")
 
 
 MACHINE_COLUMNS = "machine_isp machine_isp_code machine_prv machine_prv_code platform machine_ip pop_id".split()
@@ -52,7 +52,7 @@ MACHINE_COLUMNS = "machine_isp machine_isp_code machine_prv machine_prv_code pla
     ),
 )
 def join_machine(v):
-    rows = enrich.with_machine(v.log(pages=False, machine=True), v.machines)
+    rows = enrich.with_machine(v.log(pages=False, machine=True), v.dims.machines)
     return rows.select("event_id", "machine", *MACHINE_COLUMNS)
 
 
@@ -66,12 +66,12 @@ def code_sql(c: str, inset: int = 0) -> str:
 
 @register("join_ip_isp", code_sql("isp"))
 def join_ip_isp(v):
-    return enrich.with_code(v.events().select("event_id", "ip"), v.isp_ranges, "isp")
+    return enrich.with_code(v.events().select("event_id", "ip"), v.dims.isp, "isp")
 
 
 @register("join_ip_prv", code_sql("prv", PRV_SHIFT))
 def join_ip_prv(v):
-    return enrich.with_code(v.events().select("event_id", "ip"), v.prv_ranges, "prv")
+    return enrich.with_code(v.events().select("event_id", "ip"), v.dims.prv, "prv")
 
 
 @register(
@@ -83,7 +83,7 @@ def join_ip_prv(v):
     ),
 )
 def join_ip_named(v):
-    return enrich.with_named(v.events().select("event_id", "ip"), v.named_ranges, "c_").drop("ip")
+    return enrich.with_named(v.events().select("event_id", "ip"), v.dims.named, "c_").drop("ip")
 
 
 @register(
@@ -99,7 +99,7 @@ def join_ip_named(v):
 def join_client_host_isp(v):
     host = F.lit(16777216) + F.col("event_id") * 7919 * 1003 % 3690987520
     rows = v.events().select("event_id", "ip", host.alias("host_ip"))
-    return enrich.client_host_isp(rows, v.named_ranges).select("event_id", "isp", "province")
+    return enrich.client_host_isp(rows, v.dims.named).select("event_id", "isp", "province")
 
 
 @register(
@@ -107,7 +107,7 @@ def join_client_host_isp(v):
     sql("log dim_parent", "SELECT event_id, up, p.ip IS NOT NULL AS up_is_parent FROM log LEFT JOIN dim_parent p ON p.ip = up"),
 )
 def flag_parent(v):
-    return enrich.flag_parent(v.events().select("event_id", "up"), v.parents)
+    return enrich.flag_parent(v.events().select("event_id", "up"), v.dims.parents)
 
 
 # -------------------------------------------------------------------- filters
@@ -124,7 +124,7 @@ def filter_known_domain(v):
 
 def owned_hosts(v):
     """Names with an exact owner, as a plain list of domains."""
-    return v.domains.filter(~F.col("wildcard")).select(F.col("name").alias("domain"))
+    return v.owners.filter(~F.col("wildcard")).select(F.col("name").alias("domain"))
 
 
 IN_EXACT = "host IN (SELECT name FROM dim_domain WHERE NOT wildcard)"
@@ -170,13 +170,13 @@ MONITORED_SQL = "domain IN (SELECT name FROM dim_domain WHERE NOT wildcard AND u
 
 @register("filter_monitored", sql("owned dim_domain", f"SELECT event_id, domain FROM owned WHERE {MONITORED_SQL}"))
 def filter_monitored(v):
-    listed = v.domains.filter(~F.col("wildcard") & (F.col("userid").cast("int") % 3 == 0))
+    listed = v.owners.filter(~F.col("wildcard") & (F.col("userid").cast("int") % 3 == 0))
     return filters.monitored(v.owned(), listed.select(F.col("name").alias("domain"))).select("event_id", "domain")
 
 
 @register("filter_users", sql("owned", "SELECT event_id, userid FROM owned WHERE userid::int < 10"))
 def filter_users(v):
-    users = v.domains.filter("cast(userid as int) < 10").select("userid")
+    users = v.owners.filter("cast(userid as int) < 10").select("userid")
     return filters.of_users(v.owned(), users).select("event_id", "userid")
 
 
@@ -185,8 +185,8 @@ def filter_users(v):
     sql("located dim_area", "SELECT event_id, prv FROM located WHERE prv IN (SELECT area_id FROM dim_area)"),
 )
 def filter_known_area(v):
-    rows = enrich.with_code(v.events().select("event_id", "ip"), v.prv_ranges, "prv")
-    return filters.known_area(rows, v.area).select("event_id", "prv")
+    rows = enrich.with_code(v.events().select("event_id", "ip"), v.dims.prv, "prv")
+    return filters.known_area(rows, v.dims.area).select("event_id", "prv")
 
 
 @register("split_on_time", sql("log", "SELECT event_id, ts_sec, arrival_sec FROM log WHERE arrival_sec <= ts_sec + 600"))

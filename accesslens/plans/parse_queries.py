@@ -283,8 +283,8 @@ WHERE event_id % 50 NOT IN (3, 4) AND NOT ({DAMAGED}) AND status NOT IN ('404',
 
 
 def slow_rows(v):
-    listed = v.domains.filter(~F.col("wildcard")).select(F.col("name").alias("domain"))
-    parsed = parse.slow_rate(v.lines(v.slow_text()), v.named_ranges, listed)
+    listed = v.owners.filter(~F.col("wildcard")).select(F.col("name").alias("domain"))
+    parsed = parse.slow_rate(v.lines(v.slow_text()), v.dims.named, listed)
     return rows(parsed, ["domain", "host", "isp", "province", "time", "ifSlow"])
 
 

@@ -15,7 +15,7 @@ FLOW_SQL = "sum(cs)::bigint AS flow_size, count(*) AS req_count"
 
 def watched_users(v):
     """User ids 0 to 9, read off the domain table."""
-    return v.domains.filter("cast(userid as int) < 10").select("userid")
+    return v.owners.filter("cast(userid as int) < 10").select("userid")
 
 
 # --------------------------------------------------------------- five minutes
@@ -24,7 +24,7 @@ def watched_users(v):
     sql("owned", f"SELECT domain, userid, {five('ts_sec')} AS timestamp, {FLOW_SQL} FROM owned GROUP BY 1, 2, 3"),
 )
 def domain_traffic_5m(v):
-    return rollups.traffic_by_domain(v.log(), v.domains, [], timing.five_label(F.col("ts_sec")))
+    return rollups.traffic_by_domain(v.log(), v.owners, [], timing.five_label(F.col("ts_sec")))
 
 
 @register(
@@ -38,7 +38,7 @@ def domain_traffic_5m(v):
 def user_status_traffic_5m(v):
     return rollups.traffic_by_domain(
         v.log(),
-        v.domains,
+        v.owners,
         ["status"],
         timing.five_label(F.col("ts_sec")),
         keep=lambda df: filters.of_users(df, watched_users(v)),
@@ -54,7 +54,7 @@ def user_status_traffic_5m(v):
     ),
 )
 def status_count_5m(v):
-    counts = rollups.traffic_by_domain(v.log(), v.domains, ["status"], timing.five_label(F.col("ts_sec")))
+    counts = rollups.traffic_by_domain(v.log(), v.owners, ["status"], timing.five_label(F.col("ts_sec")))
     return counts.drop("flow_size").withColumnRenamed("status", "status_code")
 
 
@@ -158,17 +158,17 @@ def hit_sql(cond: str, label: str) -> str:
 
 @register("hit_traffic_1m", hit_sql(ON_TIME, minute("ts_sec")))
 def hit_traffic_1m(v):
-    return rollups.hit_traffic_1m(v.hit_rows(), v.area)
+    return rollups.hit_traffic_1m(v.hit_rows(), v.dims.area)
 
 
 @register("late_hit_traffic_1h", hit_sql(LATE, hour("ts_sec")))
 def late_hit_traffic_1h(v):
-    return rollups.late_hit_traffic_1h(v.hit_rows(), v.area)
+    return rollups.late_hit_traffic_1h(v.hit_rows(), v.dims.area)
 
 
 @register("late_hit_traffic_5m", hit_sql(LATE, five("ts_sec")))
 def late_hit_traffic_5m(v):
-    return rollups.late_hit_traffic_5m(v.hit_rows(), v.area)
+    return rollups.late_hit_traffic_5m(v.hit_rows(), v.dims.area)
 
 
 @register(
@@ -180,7 +180,7 @@ def late_hit_traffic_5m(v):
     ),
 )
 def status_traffic_1s(v):
-    return rollups.status_traffic_1s(v.located(v.owned()), v.area)
+    return rollups.status_traffic_1s(v.located(v.owned()), v.dims.area)
 
 
 PLATFORM_SQL = 'max(platform) AS platform, max(pop_id)::varchar AS "popId"'
@@ -198,7 +198,7 @@ MACHINE_SQL = 'machine AS "machineName", machine_isp AS "machineIsp", machine_pr
     ),
 )
 def machine_flow_1m(v):
-    return rollups.machine_flow_1m(v.machine_rows(columns=("isp", "prv")), v.area)
+    return rollups.machine_flow_1m(v.machine_rows(columns=("isp", "prv")), v.dims.area)
 
 
 @register(
@@ -211,7 +211,7 @@ def machine_flow_1m(v):
     ),
 )
 def machine_hit_1m(v):
-    return rollups.machine_hit_1m(v.machine_rows(hits=True, columns=("prv",)), v.area)
+    return rollups.machine_hit_1m(v.machine_rows(hits=True, columns=("prv",)), v.dims.area)
 
 
 def machine_speed_sql(cond: str) -> str:
@@ -267,7 +267,7 @@ def late_machine_status_hour(v):
     ),
 )
 def client_speed_flag(v):
-    return rollups.client_speed_flag(v.located(v.owned(machine=True)), v.isp_ranges, v.area)
+    return rollups.client_speed_flag(v.located(v.owned(machine=True)), v.dims.isp, v.dims.area)
 
 
 @register(

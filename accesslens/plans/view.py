@@ -14,7 +14,8 @@ from accesslens.constants import LOG_TIME_FORMAT
 from accesslens.functions import net, speed
 from accesslens.operators import enrich, filters, parse
 from accesslens.schemas import BILLING, TABLES
-from accesslens.sources.dims import Dims, broadcast_if_small
+from accesslens.sources.dims import Dims, KeptDims
+from accesslens.sources.dimstore import DimStore
 
 EPOCH0 = 1704067200  # 2024-01-01 00:00:00 UTC
 SPAN = 7200
@@ -35,6 +36,7 @@ class LogView:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self.store = DimStore(spark)
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.schema(TABLES[name]).parquet(f"{self.sf_dir}/{name}.parquet")
@@ -42,11 +44,11 @@ class LogView:
     # ------------------------------------------------------------- log rows
     @cached_property
     def n_pages(self) -> int:
-        return self.table("pages").count()
+        return self._count("pages")
 
     @cached_property
     def n_suppliers(self) -> int:
-        return self.table("supplier").count()
+        return self._count("supplier")
 
     def events(self, events: DataFrame | None = None) -> DataFrame:
         """Log columns that need no other table."""
@@ -185,28 +187,20 @@ class LogView:
             F.explode(F.array(r * 2, r * 2 + 1)).alias("i")
         ).select(F.concat(F.lit("10.0.0."), F.col("i").cast("string")).alias("ip"))
 
-    # Lookup tables are measured once per query, and only those the query uses.
-    @cached_property
-    def owners(self) -> DataFrame:
-        return broadcast_if_small(self.domains)
-
-    @cached_property
-    def codes(self) -> DataFrame:
-        """Isp and province by address."""
-        return broadcast_if_small(enrich.place_table(self.isp_ranges, self.prv_ranges))
-
-    @cached_property
-    def places(self) -> DataFrame:
-        """The same with the area."""
-        return broadcast_if_small(enrich.place_table(self.isp_ranges, self.prv_ranges, self.area))
+    # Lookup tables are kept by the store: written once for each version of the files, read by path from then on.
+    def files(self, *names: str) -> list[str]:
+        return [f"{self.sf_dir}/{n}.parquet" for n in names]
 
     @cached_property
-    def machine_table(self) -> DataFrame:
-        return broadcast_if_small(self.machines)
+    def dims(self) -> KeptDims:
+        nation, pages = self.files("nation"), self.files("pages")
+        sources = dict(domains=pages, isp=nation, prv=nation, area=nation, named=nation, places=nation)
+        sources |= dict(machines=self.files("supplier", "nation", "region"), parents=self.files("region"))
+        return KeptDims(lambda name: self._given.made(name), self.store, sources)
 
     @cached_property
-    def dims(self) -> Dims:
-        given = Dims(
+    def _given(self) -> Dims:
+        return Dims(
             domains=self.domains,
             isp=self.isp_ranges,
             prv=self.prv_ranges,
@@ -215,7 +209,19 @@ class LogView:
             parents=self.parents,
             named=self.named_ranges,
         )
-        return given.measured()
+
+    @property
+    def owners(self) -> DataFrame:
+        return self.dims.domains
+
+    @cached_property
+    def codes(self) -> DataFrame:
+        """Isp and province by address."""
+        return self.store.table("codes", lambda: enrich.place_table(self.isp_ranges, self.prv_ranges), self.files("nation"))
+
+    def _count(self, name: str) -> int:
+        count = lambda: self.table(name).agg(F.count(F.lit(1)).alias("n"))
+        return self.store.first(f"n_{name}", count, self.files(name))["n"]
 
     # -------------------------------------------------------- row families
     # Each has the lookups its roll-ups name, and no others.
@@ -225,7 +231,7 @@ class LogView:
 
     def located(self, rows: DataFrame, columns: tuple[str, ...] = ("isp", "prv")) -> DataFrame:
         area = any(c.startswith("area") for c in columns)
-        return enrich.with_place(rows, self.places if area else self.codes, columns)
+        return enrich.with_place(rows, self.dims.places if area else self.codes, columns)
 
     def billing(self) -> DataFrame:
         """Billing rows of owned domains."""
@@ -234,7 +240,7 @@ class LogView:
 
     def _hits(self, rows: DataFrame) -> DataFrame:
         rows = rows.withColumn("fv_hit", speed.first_word_has_hit(F.col("fv")))
-        return parse.with_hit_type(rows, self.parents)
+        return parse.with_hit_type(rows, self.dims.parents)
 
     def hit_rows(self) -> DataFrame:
         """Owner, isp, province, hit type and speed; nothing of the machine."""
@@ -246,7 +252,7 @@ class LogView:
 
     def machine_rows(self, hits: bool = False, columns: tuple[str, ...] = ()) -> DataFrame:
         """Owner, machine and speed; hit type and place columns on request."""
-        rows = enrich.with_machine(parse.with_speed(self.owned(machine=True)), self.machine_table)
+        rows = enrich.with_machine(parse.with_speed(self.owned(machine=True)), self.dims.machines)
         rows = self._hits(rows) if hits else rows
         return self.located(rows, columns) if columns else rows
 

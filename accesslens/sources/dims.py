@@ -7,47 +7,26 @@ multiply fact rows.  Nothing here is collected to the driver.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields, replace
+import time
+from collections.abc import Callable
+from dataclasses import dataclass, fields
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from accesslens.constants import DIR_SCHEMA_KEYS, WILDCARD_PREFIX, WILDCARD_TYPE
+from accesslens.sources.dimstore import BROADCAST_BYTES, DimStore, measured_bytes  # noqa: F401
 
 
-#: Largest dimension, in bytes of its rows, that is sent to every executor.
-BROADCAST_BYTES = 32 << 20
-
 #: Addresses a range may hold: IPv4.
 ADDRESSES = 1 << 32
 
 
-def row_bytes(df: DataFrame) -> Column:
-    """Bytes of a row as a hash table holds it: 8 per fixed column, 16 and the text per string."""
-    parts = [F.lit(16)]
-    for name, kind in df.dtypes:
-        parts.append(F.coalesce(F.octet_length(name), F.lit(0)) + 16 if kind == "string" else F.lit(8))
-    return sum(parts[1:], parts[0]).cast("bigint")
-
-
-def measured_bytes(df: DataFrame) -> int:
-    return df.agg(F.sum(row_bytes(df))).first()[0] or 0
-
-
-def broadcast_if_small(dim: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Mark a lookup table for broadcast after measuring its rows; larger ones stay as they are.
-
-    A marked table may exceed the planner's threshold, which keeps log rows from being shuffled for
-    it; an unmarked one is left to the planner, which joins it by shuffle.
-    """
-    return F.broadcast(dim) if measured_bytes(dim) <= max_bytes else dim
-
-
 @dataclass(frozen=True)
 class Dims:
     """The lookups one job needs; each is a small table, read where it is used.
 
-    ``places`` is the isp, province and area of address pieces (``enrich.place_table``); it is made
-    of the three where it is not given.
+    ``places`` is the isp, province and area by address block (``enrich.place_table``); it is made
+    of the three where it is not given.  ``isp``, ``prv`` and ``named`` are ranges, or tables by block.
     """
 
     domains: DataFrame | None = None
@@ -59,16 +38,79 @@ class Dims:
     named: DataFrame | None = None
     places: DataFrame | None = None
 
-    def measured(self, max_bytes: int = BROADCAST_BYTES) -> Dims:
-        """The same lookups as they are joined (ranges as address blocks), each marked for broadcast if its bytes allow it."""
+    def measured(self, max_bytes: int = BROADCAST_BYTES, store: DimStore | None = None) -> KeptDims:
+        """The same lookups as they are joined, each written once and marked for broadcast if its bytes allow it."""
+        given = [getattr(self, f.name) for f in fields(self)]
+        spark = next((d.sparkSession for d in given if d is not None), None)
+        return KeptDims(self.made, store or (DimStore(spark, max_bytes) if spark else None))
+
+    def made(self, name: str) -> DataFrame | None:
         from accesslens.operators import enrich
 
-        given = {f.name: getattr(self, f.name) for f in fields(self)}
-        if self.places is None and self.isp is not None and self.prv is not None:
-            given["places"] = enrich.place_table(self.isp, self.prv, self.area)
-        # ranges are joined through ``places``; on their own they are exploded where they are used
-        kept = {n: given.pop(n) for n in ("isp", "prv", "named")}
-        return replace(self, **kept, **{n: broadcast_if_small(d, max_bytes) for n, d in given.items() if d is not None})
+        dim = getattr(self, name)
+        if name == "places" and dim is None and self.isp is not None and self.prv is not None:
+            return enrich.place_table(self.isp, self.prv, self.area)
+        if dim is None or name not in ("isp", "prv", "named"):
+            return dim
+        return enrich.named_table(dim) if name == "named" else enrich.code_table(dim)
+
+
+LOOKUPS = tuple(f.name for f in fields(Dims))
+
+
+class KeptDims:
+    """The lookups of ``Dims`` under the same names, kept by a store; one that no step asks for is never computed.
+
+    Ranges are kept as tables by address block.  ``make`` gives a lookup by name; ``sources`` names the files of
+    lookups that come from files alone, whose plans are then built once in a process.
+    """
+
+    def __init__(self, make: Callable[[str], DataFrame | None], store: DimStore | None, sources: dict[str, list[str]] | None = None):
+        self._make, self._store, self._sources = make, store, sources or {}
+
+    def __getattr__(self, name: str) -> DataFrame | None:
+        if name not in LOOKUPS:
+            raise AttributeError(name)
+        if name in self._sources:
+            found = self._store.table(name, lambda: self._make(name), self._sources[name])
+        else:
+            dim = self._make(name)
+            found = self._store.table(name, dim) if dim is not None else None
+        setattr(self, name, found)
+        return found
+
+
+class TimedDims:
+    """Lookups that a running stream takes again after a time, and not before.
+
+    ``load(spark)`` gives the lookups.  Within ``every_sec`` of a load all batches share its tables and start
+    no job for them; after it the next batch loads again, which writes only what has a new version.  A load
+    that fails leaves the old lookups in use until the next batch, unless there are none yet.
+    """
+
+    def __init__(self, load: Callable[[SparkSession], Dims], every_sec: float, clock: Callable[[], float] = time.monotonic):
+        self.load, self.every_sec, self.clock = load, every_sec, clock
+        self.loads = 0
+        self._held: KeptDims | None = None
+        self._at = 0.0
+        self.failed: Exception | None = None
+
+    def __call__(self, spark: SparkSession) -> KeptDims:
+        now = self.clock()
+        if self._held is None or now - self._at >= self.every_sec:
+            try:
+                fresh = self.load(spark)
+                self._held = fresh if isinstance(fresh, KeptDims) else fresh.measured()
+                self.loads, self._at, self.failed = self.loads + 1, now, None
+            except Exception as e:
+                if self._held is None:
+                    raise
+                self.failed = e
+        return self._held
+
+
+#: How long loaded lookups serve a stream: an hour; the named ranges change every other day, agent keywords daily.
+HOURLY, NAMED_EVERY, AGENTS_EVERY = 3600, 48 * 3600, 24 * 3600
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:

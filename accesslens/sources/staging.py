@@ -48,6 +48,54 @@ def write_once(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) ->
 
 def has_files(spark: SparkSession, path: str) -> bool:
     """Whether a folder exists and holds anything, in whatever store the path names."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    store = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store, folder = _store(spark, path)
     return store.exists(folder) and any(not s.getPath().getName().startswith("_") for s in store.listStatus(folder))
+
+
+def _store(spark: SparkSession, path: str):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def file_marks(spark: SparkSession, files: list[str]) -> list[tuple[str, int, int]]:
+    """(file, length, time of its last change), in order; one listing for each folder."""
+    wanted, marks = set(files), []
+    for folder in sorted({f.rsplit("/", 1)[0] for f in files}):
+        store, path = _store(spark, folder)
+        for s in store.listStatus(path):
+            name = s.getPath().toUri().toString()
+            if name in wanted or f"{folder}/{s.getPath().getName()}" in wanted:
+                marks.append((name, s.getLen(), s.getModificationTime()))
+    return sorted(marks)
+
+
+def folder_marks(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(name, length, time of its last change) of a file, or of the files of a folder."""
+    store, at = _store(spark, path)
+    return sorted((s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in store.listStatus(at))
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file; None where there is none."""
+    store, file = _store(spark, path)
+    if not store.exists(file):
+        return None
+    stream = store.open(file)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file beside its place and move it there: readers see the old one or the new one, whole."""
+    store, file = _store(spark, path)
+    _, part = _store(spark, f"{path}.{uuid.uuid4().hex}")
+    stream = store.create(part, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if not store.rename(part, file):  # stores that do not replace on a rename
+        store.delete(file, False)
+        store.rename(part, file)

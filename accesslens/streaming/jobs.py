@@ -4,7 +4,7 @@ A job is a stream of lines (or rows), one step that turns a micro-batch into
 rows, and named outputs computed from those rows.  The operators are the batch
 ones.  Every output of a batch goes to a folder named by the batch id and is
 overwritten there, so a batch that runs again after a failure leaves no
-repeats.  Dimensions are loaded again for every batch.
+repeats.  Dimensions are loaded again for every batch, or by time (``dims.TimedDims``).
 
 Late rows are split off and written to outputs of their own; nothing drops them.
 ``final_batches`` closes windows behind the newest event time and writes each
@@ -21,9 +21,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from accesslens.functions import timing
 from accesslens.sources import scans, sinks, staging
-from accesslens.sources.dims import Dims
+from accesslens.sources.dims import Dims, KeptDims
 
-LoadDims = Callable[[SparkSession], Dims]
+LoadDims = Callable[[SparkSession], Dims | KeptDims]
 ToRows = Callable[[DataFrame, Dims], DataFrame]
 BATCH = "batch"
 
@@ -44,9 +44,10 @@ def start(
     return writer.start()
 
 
-def fresh_dims(load_dims: LoadDims, spark: SparkSession) -> Dims:
-    """A batch's lookups, loaded again and measured for broadcast."""
-    return load_dims(spark).measured()
+def fresh_dims(load_dims: LoadDims, spark: SparkSession) -> KeptDims:
+    """A batch's lookups: those a timed load holds, else loaded again; what has no new version is not written again."""
+    given = load_dims(spark)
+    return given if isinstance(given, KeptDims) else given.measured()
 
 
 def batch_folder(path: str, output: str, batch_id: int) -> str:
