@@ -16,7 +16,8 @@ from accesslens.plans.registry import ORACLES, register
 from accesslens.plans.rollup_queries import FLOW_SQL, LATE, ON_TIME, hit_sql, machine_speed_sql
 from accesslens.schemas import ACCESS_LOG, EVENTS
 from accesslens.sources import scans, sinks, staging
-from accesslens.streaming import jobs
+from accesslens.sources.dims import Dims
+from accesslens.streaming import jobs, runner
 
 START, STOP = 1704069000, 1704072600
 HOUR_LABEL = START // 3600 * 3600
@@ -349,6 +350,27 @@ def event_stream(v, files: int | None = None) -> DataFrame:
     return reader.parquet(f"{path[:-1]}[{path[-1]}]")
 
 
+BATCHES = 3
+
+
+def in_batches(v, df: DataFrame, write) -> int:
+    """Write a third of the events after another, as many files each as the table has; returns that number.
+
+    A stream of so many files a trigger takes one third a batch, in this order.
+    """
+    files = max(1, len(v.table("events").inputFiles()))
+    for i in range(BATCHES):
+        write(df.filter(F.col("event_id") % BATCHES == i).repartition(files))
+    return files
+
+
+def batched_events(v) -> DataFrame:
+    """The events as a stream of three batches."""
+    path = staging.fresh_path(v.spark, "events")
+    files = in_batches(v, v.table("events"), lambda df: df.write.mode("append").parquet(path))
+    return v.spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", files).parquet(path)
+
+
 def line_stream(v) -> DataFrame:
     """Edge lines of the events as a text file stream."""
     path = staging.fresh_path(v.spark, "lines")
@@ -371,6 +393,43 @@ def stream_domain_traffic_5m(v, files: int | None = None):
     return jobs.merged(partials, ["domain", "userid", "timestamp"], ["flow_size", "req_count"])
 
 
+@register("stream_interval_traffic", ORACLES["domain_traffic_5m"])
+def stream_interval_traffic(v):
+    """The same under an interval trigger, over three batches; it is asked to stop when nothing new comes."""
+    path = staging.fresh_path(v.spark, "interval")
+    control = runner.Control(v.spark, f"{path}/stop")
+    roll = lambda rows, _: rollups.traffic_by_domain(rows, v.owners, [], timing.five_label(F.col("ts_sec")))
+    query = jobs.rollup_batches(
+        v.log(events=batched_events(v)), lambda b, _: b, {"traffic": roll}, path, f"{path}/checkpoint", every="500 milliseconds", control=control
+    )
+    runner.run_through(query, control)
+    return jobs.merged(jobs.read_partials(v.spark, path, "traffic"), ["domain", "userid", "timestamp"], jobs.SUMS)
+
+
+@register(
+    "stream_restart_traffic",
+    sql(
+        "owned",
+        f"""SELECT domain, CASE WHEN event_id % {BATCHES} = {BATCHES - 1} THEN userid || '0' ELSE userid END AS userid,
+        {five('ts_sec')} AS timestamp, {FLOW_SQL} FROM owned GROUP BY 1, 2, 3""",
+    ),
+)
+def stream_restart_traffic(v):
+    """Stopped behind its second batch and started again from the checkpoint, with owners that changed in between."""
+    path = staging.fresh_path(v.spark, "restart")
+    rows = v.log(events=batched_events(v))
+
+    def roll(batch, d):
+        return rollups.traffic_by_domain(batch, d.domains, [], timing.five_label(F.col("ts_sec")))
+
+    for after, users in ((BATCHES - 1, F.col("userid")), (None, F.concat("userid", F.lit("0")))):
+        control = runner.Control(v.spark, f"{path}/stop", after)
+        load = lambda _, users=users: Dims(domains=v.domains.withColumn("userid", users))
+        query = jobs.rollup_batches(rows, lambda b, _: b, {"traffic": roll}, path, f"{path}/checkpoint", load, control=control)
+        runner.run_until_asked(query, control)
+    return jobs.merged(jobs.read_partials(v.spark, path, "traffic"), ["domain", "userid", "timestamp"], jobs.SUMS)
+
+
 @register(
     "stream_late_split",
     sql(
@@ -431,6 +490,23 @@ def batch_counts(v, files: int | None = None):
     return v.spark.read.parquet(f"{path}/counts").select("batch_id", "records")
 
 
+@register("batch_counts_files", f"SELECT event_id % {BATCHES} AS batch_id, count(*) AS records FROM events GROUP BY 1")
+def batch_counts_files(v):
+    """Records of each of three batches."""
+    path = staging.fresh_path(v.spark, "counts")
+    write = lambda b, i: b.write.mode("overwrite").parquet(jobs.batch_folder(path, "data", i))
+    finished(jobs.count_batches(batched_events(v), write, path, f"{path}/checkpoint"))
+    return v.spark.read.parquet(f"{path}/counts").select("batch_id", "records")
+
+
+@register("scan_text_files", sql("located", f"SELECT domain, cs, userid, status FROM located WHERE {GOOD}"))
+def scan_text_files(v):
+    """Raw lines from text files, three times as many as the events have."""
+    path = staging.fresh_path(v.spark, "text")
+    in_batches(v, v.lines(v.edge_text()), lambda df: df.select("value").write.mode("append").text(path))
+    return parse.accepted(parse.edge(scans.text_lines(v.spark, path), v.dims)).select("domain", "cs", "userid", "status")
+
+
 @register(
     "stream_final_traffic",
     sql("owned", f"SELECT domain, userid, {five('ts_sec')} AS timestamp, {FLOW_SQL} FROM owned GROUP BY 1, 2, 3"),

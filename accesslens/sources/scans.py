@@ -56,6 +56,11 @@ def text_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def hour_of(sec: int, zone: str = "UTC") -> str:
+    """Label of the hour a time is in."""
+    return datetime.fromtimestamp(sec, ZoneInfo(zone)).strftime("%Y%m%d%H")
+
+
 def range_hours(start_sec: int, stop_sec: int, zone: str = "UTC") -> list[str]:
     """Hour partitions a range reads: start, and stop plus the slack.
 
@@ -64,7 +69,7 @@ def range_hours(start_sec: int, stop_sec: int, zone: str = "UTC") -> list[str]:
     """
     last = stop_sec + STOP_SLACK_SECONDS
     times = [*range(start_sec, last, 3600), last]
-    return sorted({datetime.fromtimestamp(t, ZoneInfo(zone)).strftime("%Y%m%d%H") for t in times})
+    return sorted({hour_of(t, zone) for t in times})
 
 
 def with_hour(stored: DataFrame, label: str = "timestamp") -> DataFrame:

@@ -99,3 +99,17 @@ def replace_text(spark: SparkSession, path: str, text: str) -> None:
     if not store.rename(part, file):  # stores that do not replace on a rename
         store.delete(file, False)
         store.rename(part, file)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or a folder of this package's own; nothing happens where there is none."""
+    store, at = _store(spark, path)
+    store.delete(at, True)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none where it is missing."""
+    store, at = _store(spark, path)
+    if not store.exists(at):
+        return []
+    return sorted(s.getPath().getName() for s in store.listStatus(at) if s.isDirectory())
