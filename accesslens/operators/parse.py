@@ -475,8 +475,8 @@ def hash_dir(lines: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------------- JSON lines
-#: A number's key with quoted text behind it.
-QUOTED_NUMBER = r'"(?:es|value|Fs|cs|lt)"\s*:\s*"'
+#: The numbers of a line as such: quoted text is none here, whatever it holds.
+JSON_NUMBERS = "es double, tl struct<value: double>, lt double, cs double, Fs double"
 
 
 def _json_rows(lines: DataFrame, strict: bool) -> DataFrame:
@@ -484,7 +484,7 @@ def _json_rows(lines: DataFrame, strict: bool) -> DataFrame:
 
     The strict form reads whole numbers through doubles, so it takes ``5.0`` and cuts ``5.7``.
     """
-    df = _once(lines, lines.columns, {"_j": F.from_json("value", JSON_LINE)})
+    df = _once(lines, lines.columns, {"_j": F.from_json("value", JSON_LINE), "_n": F.from_json("value", JSON_NUMBERS)})
     j = {c: F.col(f"_j.{c}") for c in JSON_LINE.names if c != "tl"} | {"tl": F.col("_j.tl.value")}
     doubles = {c: j[c].try_cast("double") for c in ("es", "tl", "lt")}
     if strict:
@@ -494,7 +494,8 @@ def _json_rows(lines: DataFrame, strict: bool) -> DataFrame:
         whole = {"cs": j["cs"].try_cast("bigint")}
         given = F.lit(True)
     numbers = doubles | whole
-    right = _all(*[j[c].isNull() | x.isNotNull() for c, x in numbers.items()], ~F.col("value").rlike(QUOTED_NUMBER))
+    bare = {c: F.col("_n.tl.value" if c == "tl" else f"_n.{c}") for c in numbers}
+    right = _all(*[j[c].isNull() | (x.isNotNull() & bare[c].isNotNull()) for c, x in numbers.items()])
     j |= {c: F.coalesce(x, F.lit(0.0)) for c, x in doubles.items()}
     j |= {c: F.coalesce(x, F.lit(0).cast("bigint")) for c, x in whole.items()}
     if not strict:

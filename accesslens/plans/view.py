@@ -400,7 +400,10 @@ class LogView:
         return self._wrap(F.col("machine"), rest)
 
     def json_text(self) -> Column:
-        """JSON line; the byte count is absent for id 4 mod 10 and spoilt for some ids mod 40: text, 5.7, a ``.0``, text for es."""
+        """JSON line; the byte count is absent for id 4 mod 10 and spoilt for some ids mod 40: text, 5.7, a ``.0``, text for es.
+
+        Ids 16 mod 40 have their status quoted, ids 17 mod 40 a quoted ``value`` under a key of their own.
+        """
         failure = F.when(self._damaged(), F.lit(" _jsonparsefailure")).otherwise("")
         line = F.to_json(
             F.struct(
@@ -427,6 +430,8 @@ class LogView:
             .when(odd == 12, F.regexp_replace(line, cs, '"cs":5.7'))
             .when(odd == 13, F.regexp_replace(line, cs, '"cs":$1.0'))
             .when(odd == 15, F.regexp_replace(line, r'"es":[^,]*', '"es":"x"'))
+            .when(odd == 16, F.regexp_replace(line, r'"Fs":(\d+)', '"Fs":"$1"'))
+            .when(odd == 17, F.regexp_replace(line, r"^\{", r'{"extra":{"value":"x"},'))
             .otherwise(line)
         )
 

@@ -1,5 +1,7 @@
 """Raw lines of every layout, with the awkward ones."""
 
+import re
+
 from accesslens.operators import parse
 from accesslens.operators.parse import accepted, rejected
 
@@ -159,6 +161,17 @@ JSON = (
 )
 
 
+def test_quoted_text_where_text_belongs(spark, dims):
+    status, other = JSON.replace('"Fs":200', '"Fs":"200x"'), JSON.replace("{", '{"extra":{"value":"5"},', 1)
+    assert status != JSON
+    assert [r.Fs for r in accepted(parse.json(frame(spark, status, other), dims)).select("Fs").collect()] == ["200x", "200"]
+    assert accepted(parse.json_strict(frame(spark, status, other), dims)).count() == 1
+    for quoted in ('"cs":"', '"es":"', '"lt":"'):
+        key = quoted[:-1]
+        line = re.sub(key + r"([0-9.eE+]+)", quoted + r'\1"', JSON)
+        assert line != JSON and rejected(parse.json(frame(spark, line), dims)).count() == 1
+
+
 def test_json(spark, dims):
     r = one(parse.json(frame(spark, JSON), dims))
     assert (r.domain, r.Fs, r.cs, r.tl, r.ua, r.suffix, r.timestampLong) == ("img.example.com", "200", 590, 8.047, "pc", "png", 1452581275)
