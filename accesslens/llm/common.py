@@ -34,6 +34,13 @@ def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
 def crc_mod(id_col: str, n: int) -> Column:
     """crc32 of the id as text, modulo n; null for a null id."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % n
@@ -48,11 +55,16 @@ def binary_values(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
-    """Batches cut to few rows, so that a task holds the Python copies of few texts at a time."""
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256, limit: int = 4 * CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Batches cut to few rows and bytes, so that a task holds the Python copies of few texts at a time; a longer row comes alone."""
     for b in batches:
-        for lo in range(0, b.num_rows, rows):
-            yield b.slice(lo, rows)
+        lo = 0
+        while lo < b.num_rows:
+            n = min(rows, b.num_rows - lo)
+            while n > 1 and b.slice(lo, n).nbytes > limit:
+                n //= 2
+            yield b.slice(lo, n)
+            lo += n
 
 
 def chunks(sizes: list[int], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
