@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accesslens.llm.common import slices, table, texts
+from accesslens.llm.common import slices, stage, table, texts
 from accesslens.sources.staging import fresh_path
 
 LEDGER_SCHEMA = "blob binary, rule string, version int, spans array<struct<start:long, end:long>>"
@@ -105,16 +105,19 @@ class Ledger:
     def unseen(self, versions: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
         """(blob, text, rules still to run): one row per blob that lacks a rule version.
 
-        Copies meet map-side first, so a text with a third of all rows moves once per task.
+        Copies meet map-side first, so a text with a third of all rows moves once per task.  Only addresses are
+        compared with the ledger; texts move for the blobs that it lacks.
         """
-        texts_once = versions.groupBy("blob").agg(F.first(F.coalesce("text", F.lit(""))).alias("text"))
         every = F.array(*[F.lit(r.name) for r in rules])
+        one = F.first(F.coalesce("text", F.lit(""))).alias("text")
         seen = self.rows()
         if seen is None:
-            return texts_once.withColumn("rules", every)
+            return versions.groupBy("blob").agg(one).withColumn("rules", every)
         done = seen.where(_current(rules)).groupBy("blob").agg(F.collect_set("rule").alias("done"))  # at most one name per rule
         todo = F.array_except(every, F.coalesce("done", F.array().cast("array<string>")))
-        return texts_once.join(done, "blob", "left").select("blob", "text", todo.alias("rules")).where(F.size("rules") > 0)
+        lacking = versions.select("blob").distinct().join(done, "blob", "left").select("blob", todo.alias("rules"))
+        lacking = stage(lacking.where(F.size("rules") > 0), "unseen-blobs")
+        return versions.join(lacking, "blob").groupBy("blob").agg(one, F.first("rules").alias("rules"))
 
     def scan(self, versions: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         """Scan what is unseen, append it, and return all rows of the current rules.
@@ -122,7 +125,7 @@ class Ledger:
         ``versions``: (text, blob).  A run that was cut off left no committed folder, so
         repeating it is safe; a pair that two runs both scanned counts once.
         """
-        scan(self.unseen(versions, rules), rules).write.mode("append").parquet(self.path)
+        scan(self.unseen(versions, rules), rules).write.mode("append").option("compression", "zstd").parquet(self.path)
         rows = self.rows().where(_current(rules))
         return rows.groupBy("blob", "rule").agg(F.first("spans").alias("spans"))
 
@@ -155,10 +158,11 @@ def digest(found: DataFrame) -> DataFrame:
 
 
 def op6_secret_scan(spark, sf_dir: str) -> DataFrame:
-    """All secrets of documents through a new ledger."""
-    return digest(findings(table(spark, sf_dir, "documents"), Ledger(spark, fresh_path(spark, "secret-ledger"))))
-
-
+    """All secrets of documents, loaded twice into one ledger: the first load scans every text, the second finds nothing unseen."""
+    docs = table(spark, sf_dir, "documents")
+    ledger = Ledger(spark, fresh_path(spark, "secret-ledger"))
+    ledger.scan(blobs(texts(docs)).select("blob", "text"))
+    return digest(findings(docs, ledger))
 
 
 def _either(word: str) -> str:

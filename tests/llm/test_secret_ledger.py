@@ -65,3 +65,15 @@ def test_only_unseen_pairs_are_scanned(spark, empty, tmp_path):
     assert ledger.rows().count() == 4 * 3
     assert op.findings(empty, ledger).count() == 0
     assert op.findings(empty, op.Ledger(spark, f"{tmp_path}/other")).count() == 0
+
+
+def test_the_query_scans_each_pair_once(spark, small, monkeypatch):
+    """Its second load of the table meets the ledger of the first."""
+    scanned, ledgers = [], []
+    scan, made = op.scan, op.Ledger
+    monkeypatch.setattr(op, "scan", lambda unseen, rules: scanned.append(unseen.count()) or scan(unseen, rules))
+    monkeypatch.setattr(op, "Ledger", lambda *a: ledgers.append(made(*a)) or ledgers[-1])
+    got = op.op6_secret_scan(spark, "/root/testdata/sf0.001").collect()
+    blobs = {r["text"] or "" for r in small}
+    assert scanned == [len(blobs), 0] and ledgers[0].rows().count() == 3 * len(blobs)
+    assert sorted(map(tuple, got)) == sorted(plain(r["doc_id"], r["text"]) for r in small)
