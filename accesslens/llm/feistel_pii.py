@@ -17,13 +17,17 @@ from accesslens.llm.common import table, texts
 
 ROUNDS = 10
 KEY = "accesslens"
-#: Days that dates are permuted in: from 1900-01-01, as 270 x 272 (up to 2101-01-26).
-FIRST_DAY, DAYS = "1900-01-01", (270, 272)
+#: Dates from here on are permuted, to the last day of 2100.
+FIRST_DAY = "1900-01-01"
+#: Months there, and days after the twelfth of a month, as factors of the two domains.
+MONTHS, LATE_DAYS = 2412, (4447, 10)
 
-#: Countries by the length of their account numbers; what follows such a number is not part of it.
+#: Countries by the length of their account numbers; what follows such a number is not part of it.
 IBAN_LENGTHS = {
-    15: "NO", 16: "BE", 18: "DK|FI|NL", 19: "SI", 20: "AT|EE|LT|LU", 21: "CH|HR|LI|LV", 22: "BG|DE|GB|IE",
-    24: "CZ|ES|RO|SE|SK", 25: "PT", 27: "FR|GR|IT", 28: "CY|HU|PL",
+    15: "NO", 16: "BE", 18: "DK|FI|FK|FO|GL|NL|SD", 19: "MK|SI", 20: "AT|BA|EE|KZ|LT|LU|MN|XK", 21: "CH|HR|LI|LV",
+    22: "BG|BH|CR|DE|GB|GE|IE|ME|RS|VA", 23: "AE|GI|IL|IQ|OM|SO|TL", 24: "AD|CZ|ES|MD|PK|RO|SA|SE|SK|TN|VG", 25: "LY|PT|ST",
+    26: "IS|TR", 27: "FR|GR|IT|MC|MR|SM", 28: "AL|AZ|BY|CY|DO|GT|HN|HU|LB|NI|PL|SV", 29: "BR|EG|PS|QA|UA", 30: "JO|KW|MU|YE",
+    31: "MT|SC", 32: "LC", 33: "RU",
 }
 _IBANS = "|".join(
     rf"(?:{names})\d{{2}}(?: ?[A-Z0-9]{{4}}){{{(n - 4) // 4}}}" + (rf" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "") + r"(?!\w)" for n, names in IBAN_LENGTHS.items()
@@ -183,21 +187,42 @@ def _day(text: Column, form: str) -> Column:
     return F.try_to_timestamp(text, F.lit(form)).cast("date")
 
 
+def permute_day(day: Column, key: str) -> Column:
+    """Another day; null outside the domain.  Days up to the twelfth of a month and later ones are permuted apart.
+
+    Where the order of day and month is read off the value, a day after the twelfth must not turn into one that
+    reads in both orders: two days would have one pseudonym.
+    """
+    first = F.lit(FIRST_DAY).cast("date")
+    month = ((F.year(day) - 1900) * 12 + F.month(day) - 1).cast("long")
+    at = F.dayofmonth(day).cast("long")
+    early = feistel(month * 12 + at - 1, MONTHS, 12, F.lit("date"), key)
+    early_day = F.date_add(F.add_months(first, _div(early, _long(12)).cast("int")), (early % 12).cast("int"))
+    # days after the twelfth in a row: each month leaves out twelve
+    late = feistel(F.datediff(day, first).cast("long") - 12 * (month + 1), *LATE_DAYS, F.lit("late date"), key)
+    near = _div(late * MONTHS, _long(LATE_DAYS[0] * LATE_DAYS[1]))  # its month, give or take two
+    late_day = None
+    for off in range(-2, 3):
+        m = near + off
+        d = F.date_add(first, (late + 12 * (m + 1)).cast("int"))
+        found = F.when(((F.year(d) - 1900) * 12 + F.month(d) - 1 == m) & (F.dayofmonth(d) > 12), d)
+        late_day = found if late_day is None else F.coalesce(late_day, found)
+    return F.when(month.between(0, MONTHS - 1), F.when(at <= 12, early_day).otherwise(late_day))
+
+
 def _date(value: Column, key: str) -> Column:
     """Day first where both orders are days; the order of the value is kept."""
-    out = None
-    for shape, form in ((r"^\d{4}-", "yyyy-MM-dd"), (r"^\d{2}/", "dd/MM/yyyy"), (r"^\d{2}/", "MM/dd/yyyy"), (r"^\d{2}\.", "dd.MM.yyyy")):
-        day = _day(F.when(value.rlike(shape), value), form)
-        n = F.datediff(day, F.lit(FIRST_DAY).cast("date")).cast("long")
-        moved = feistel(n, *DAYS, F.lit("date"), key)
-        new = F.date_format(F.date_add(F.lit(FIRST_DAY).cast("date"), moved.cast("int")), form)
-        new = F.when(n.between(0, DAYS[0] * DAYS[1] - 1), new)
-        out = new if out is None else F.coalesce(out, new)
+    forms = ((r"^\d{4}-", "yyyy-MM-dd"), (r"^\d{2}/", "dd/MM/yyyy"), (r"^\d{2}/", "MM/dd/yyyy"), (r"^\d{2}\.", "dd.MM.yyyy"))
+    days = [_day(F.when(value.rlike(shape), value), form) for shape, form in forms]
+    moved = permute_day(F.coalesce(*days), key)
+    out = F
+    for day, (_, form) in zip(days, forms):
+        out = out.when(day.isNotNull(), F.date_format(moved, form))
     return out
 
 
 def _email(value: Column, key: str) -> Column:
-    name = F.substring(F.sha2(F.concat(F.lit(f"{key}|email|"), F.lower(value)), 256), 1, 12)
+    name = F.substring(F.sha2(F.concat(F.lit(f"{key}|email|"), F.lower(value)), 256), 1, 26)
     return F.concat(F.lit("u"), name, F.regexp_extract(value, "@.*$", 0))
 
 
@@ -223,11 +248,11 @@ def pseudonymise(docs: DataFrame, key: str = KEY, id_col: str = "doc_id", text_c
     """(doc_id, text, found): every input row with the new text and its (kind, pseudonym) in order.
 
     A null text stays null with nothing found; empty texts and texts without values come back as they
-    are.  Values that fail their check stay as they are.  Repeated rows and null ids keep their rows.
+    are, very long ones are searched whole.  Values that fail their check stay as they are.  Repeated rows and null ids keep their rows.
     An empty table gives no rows.
     """
     rows = texts(docs, id_col, text_col)
-    maybe = F.col("text").rlike("[0-9]{2}|@")
+    maybe = F.col("text").rlike("[0-9@]")  # every pattern holds a digit or this mark
     hits = F.when(maybe, F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0)))
     rows = rows.withColumn("hits", hits)
     none = F.array().cast("array<struct<kind:string,old:string,new:string>>")

@@ -106,3 +106,69 @@ def test_whole_table_and_plan(spark, small):
     assert all(re.sub(r"\S", "", rows[r["doc_id"]]["text"]) == re.sub(r"\S", "", r["text"]) for r in small)
     plan = op.op2_feistel_pii(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Exchange", plan)
+
+
+def test_every_day_of_a_century_has_its_own_pseudonym_in_all_orders(spark):
+    """Each string of each form is read as the engine reads it; no two days may share a pseudonym."""
+    first = dt.date(1950, 1, 1)
+    days = [first + dt.timedelta(i) for i in range(36_525)]
+    forms = ("%Y-%m-%d", "%d/%m/%Y", "%m/%d/%Y", "%d.%m.%Y")
+    values = sorted({d.strftime(f) for d in days for f in forms})
+
+    def read(text):
+        for f in forms:
+            try:
+                return dt.datetime.strptime(text, f).date()
+            except ValueError:
+                pass
+
+    new = dict(zip(values, of(spark, values, op.pseudonym)))
+    assert None not in new.values()
+    image, source = {}, {}
+    for old, value in new.items():
+        assert re.sub(r"\d", "9", old) == re.sub(r"\d", "9", value)
+        image.setdefault(read(old), set()).add(read(value))
+        assert source.setdefault(value, read(old)) == read(old)  # one pseudonym, one day
+    assert all(len(x) == 1 for x in image.values())  # one day, one pseudonym in all forms
+    assert len(set().union(*image.values())) == len(image)
+    assert all((d.day > 12) == (next(iter(x)).day > 12) for d, x in image.items())
+
+
+def test_days_are_permuted_over_the_whole_domain(spark):
+    last = (dt.date(2100, 12, 31) - dt.date(1900, 1, 1)).days + 1
+    assert 12 * op.MONTHS + op.LATE_DAYS[0] * op.LATE_DAYS[1] == last
+    days = spark.range(-1, last + 1).select(F.date_add(F.lit(op.FIRST_DAY).cast("date"), F.col("id").cast("int")).alias("d"))
+    rows = days.select("d", op.permute_day(F.col("d"), "k").alias("p")).collect()
+    inside = [r["p"] for r in rows if dt.date(1900, 1, 1) <= r["d"] <= dt.date(2100, 12, 31)]
+    assert len(set(inside)) == last and None not in inside
+    assert [r["p"] for r in rows if r["d"] in (dt.date(1899, 12, 31), dt.date(2101, 1, 1))] == [None, None]
+
+
+def test_short_values_and_greedy_neighbours_are_found(spark):
+    def iban(country, body):
+        digits = "".join(str(int(c, 36)) for c in body + country + "00")
+        return f"{country}{98 - int(digits) % 97:02d}{body}"
+
+    spaced = lambda x: " ".join(x[i : i + 4] for i in range(0, len(x), 4))
+    ibans = [iban(c.split("|")[0], ("80000000608010167519" * 2)[: n - 4]) for n, c in op.IBAN_LENGTHS.items()]
+    texts = ["dns 8.8.8.8 is up", "a@b.c", *[f"to {spaced(x)} BIC" for x in ibans], *[f"to {x} BIC" for x in ibans]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = [r for r in op.pseudonymise(docs).orderBy("doc_id").collect()]
+    assert [len(r["found"]) for r in rows] == [1] * len(texts)
+    for r, old in zip(rows, texts):
+        assert r["text"] != old and (not old.endswith(" BIC") or r["text"].endswith(" BIC"))
+    assert all(iban_ok(r["text"][3:-4]) for r in rows[2:])
+    assert len(rows[1]["found"][0]["pseudonym"].split("@")[0]) >= 27
+
+
+def test_numbers_equal_plain_integers(spark):
+    values = ["192.168.0.1", "219-09-9999", "+1 (974) 555-3436", "DE89 3704 0044 0532 0130 00"]
+    ip, ssn, phone, iban = of(spark, values, op.pseudonym)
+    n = plain_feistel(192 << 24 | 168 << 16 | 1, 1 << 16, 1 << 16, "ip")
+    assert ip == ".".join(str(n >> s & 255) for s in (24, 16, 8, 0))
+    n = plain_feistel(218 * 99 * 9999 + 8 * 9999 + 9998, 898, 99 * 9999, "ssn")
+    row, rest = divmod(n, 99 * 9999)
+    assert ssn == f"{row + 1 + (row >= 665):03d}-{rest // 9999 + 1:02d}-{rest % 9999 + 1:04d}"
+    assert re.sub(r"\D", "", phone) == f"1{plain_feistel(9745553436, 10**5, 10**5, 'phone'):010d}"
+    parts = [plain_feistel(370400440532013, 10**8, 10**7, "iban0DE"), plain_feistel(0, 10**2, 10, "iban1DE")]
+    assert iban.replace(" ", "")[4:] == f"{parts[0]:015d}{parts[1]:03d}"
