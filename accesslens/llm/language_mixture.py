@@ -20,9 +20,8 @@ from pyspark.sql import functions as F
 from accesslens.llm.common import CHUNK_BYTES, chunks, crc_mod, slices, table, texts
 from accesslens.llm.packing import pack, unpack
 
-#: Bounds of the training sample: documents for each language, and languages, the most frequent first.
+#: Bound of the training sample: documents for each language.  All languages are learned, at 0.25 MB each.
 TRAIN_DOCS = 1500
-MAX_LANGUAGES = 256
 #: Bytes of a gram and cells that grams are hashed to.
 GRAM = 3
 CELLS = 1 << 16
@@ -30,7 +29,6 @@ SMOOTHING = 0.2
 STEPS = 12
 #: A further language must gain this many times the log of the number of words.
 PENALTY = 2.0
-LARGEST_SET = 4
 UNKNOWN = "und"
 
 #: Bytes that are no letters become blanks; bytes of other than ASCII characters count as letters.
@@ -107,7 +105,7 @@ def proportions(logs: np.ndarray, n: np.ndarray) -> np.ndarray:
     cost = PENALTY * np.log(n + 1)
     open_ = np.flatnonzero(_gain(e, first, n, free) - top > cost)  # no set can gain more than all
     rank = np.argsort(-free, axis=1, kind="stable")
-    for size in range(2, min(k, LARGEST_SET) + 1):
+    for size in range(2, k + 1):
         if not len(open_):
             break
         words = np.repeat(np.isin(np.arange(len(n)), open_), n)
@@ -140,7 +138,7 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS, id_col: str = "doc_id", t
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.where("lang is not null and text is not null").where(crc_mod("doc_id", 3) != 1)
-    found = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    found = rows.groupBy("lang").count().collect()  # a row for each language
     if not found:
         return Model([], np.zeros((CELLS, 0), dtype=np.float32))
     scale = 1 << 20
@@ -155,8 +153,11 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS, id_col: str = "doc_id", t
     languages = sorted(lang for lang, c in counts.items() if c.any())
     if not languages:
         return Model([], np.zeros((CELLS, 0), dtype=np.float32))
-    p = np.stack([counts[x] for x in languages], axis=1) + SMOOTHING
-    return Model(languages, np.log(p / p.sum(axis=0)).astype(np.float32))
+    logs = np.empty((CELLS, len(languages)), dtype=np.float32)
+    for i, x in enumerate(languages):
+        p = counts.pop(x) + SMOOTHING
+        logs[:, i] = np.log(p / p.sum())
+    return Model(languages, logs)
 
 
 PREDICTED = "doc_id long, held_out boolean, lang_pred string, score double, mixture string"

@@ -79,3 +79,22 @@ def test_long_texts_are_cut_at_blanks(monkeypatch):
     whole = model.words(data)
     monkeypatch.setattr(op, "CHUNK_BYTES", 64)
     assert np.allclose(model.words(data), whole) and len(whole) == 200
+
+
+def test_300_languages_and_a_text_of_six(spark):
+    """No language is left out for being rare, and a mixture may have more than four."""
+    import random
+
+    rng = random.Random(7)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = {f"l{i:03d}": ["".join(rng.choice(letters) for _ in range(rng.randint(5, 9))) for _ in range(12)] for i in range(300)}
+    rows = [(i * 40 + j, " ".join(rng.choices(w, k=30)), lang) for i, (lang, w) in enumerate(words.items()) for j in range(4)]
+    model = op.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(model.languages) > 290
+    six = [lang for lang in model.languages if lang in words][::40][:6]
+    text = " ".join(w for lang in six for w in words[lang] * 6)
+    (best, score, mixture) = op._predict(model, [text])[0]
+    named = {x.split(":")[0] for x in mixture.split(",") if float(x.split(":")[1]) > 0.05}
+    assert named == set(six) and best in six and 0 < score <= 1
+    alone = [model.languages[0], model.languages[150], model.languages[-1]]
+    assert [x[0] for x in op._predict(model, [" ".join(words[lang]) for lang in alone])] == alone
