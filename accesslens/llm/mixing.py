@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from accesslens.llm.common import stage, table
+from accesslens.llm.common import free_name, stage, table
 
 #: Value that stands for all that a level does not list.
 OTHER = "*"
@@ -167,9 +167,15 @@ def op3_mixing(spark, sf_dir: str) -> DataFrame:
 
 
 def mix_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the documents that one epoch takes, towards the same weights and 90 % of the tokens."""
-    taken = mix(with_domain(docs), LEVELS, 0.9, 1).select(F.col("doc_id").alias("_taken")).distinct()
-    return docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_taken")), "left_semi")
+    """Pipeline stage: the documents that one epoch takes, towards the same weights and 90 % of the tokens.
+
+    A document is taken or left by its doc_id, so repeated rows go together and rows with a null id do, too.  Null and empty
+    texts cost nothing and are taken with their leaf; very long texts count whole.  Null or unlisted languages and
+    sources have weights of their own.  Other columns pass as they are, whatever their names.  An empty table stays empty.
+    """
+    mark = free_name(docs, "_taken")
+    taken = mix(with_domain(docs.select("doc_id", "text", "lang", "source")), LEVELS, 0.9, 1).select(F.col("doc_id").alias(mark)).distinct()
+    return docs.join(taken, F.col("doc_id").eqNullSafe(F.col(mark)), "left_semi")
 
 
 QUERIES = {"op3_mixing": op3_mixing}

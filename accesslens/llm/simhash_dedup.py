@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from accesslens.llm.common import binary_values, long_array, slices, stage, texts
+from accesslens.llm.common import binary_values, free_name, long_array, slices, stage, texts
 from accesslens.llm.components import components
 
 SEED = 42
@@ -272,11 +272,14 @@ def _repeats(docs: DataFrame) -> bool:
 def dedup_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component stays: the one whose doc_id names it, once.
 
-    Rows with a null doc_id stay if no document has their fingerprint.
+    Rows with a null doc_id stay if no document has their fingerprint.  Null and empty texts, and others without
+    words, are one component; very long texts are read whole; of repeated rows one stays.  Other columns pass as they
+    are, whatever their names.  An empty table stays empty.
     """
+    mark = free_name(docs, "_kept")
     found = near_duplicates(docs).where("doc_id = component_id or component_id is null")
-    keep = found.select(F.col("doc_id").alias("_kept")).distinct()
-    kept = docs.join(keep, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    keep = found.select(F.col("doc_id").alias(mark)).distinct()
+    kept = docs.join(keep, F.col("doc_id").eqNullSafe(F.col(mark)), "left_semi")
     return kept.dropDuplicates(["doc_id", "text"]) if _repeats(docs) else kept
 
 

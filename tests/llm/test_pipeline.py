@@ -38,3 +38,13 @@ def test_stages_keep_the_columns_and_take_odd_rows(spark, odd, empty):
 def test_dedup_keeps_one_of_each(spark, odd):
     kept = [r["doc_id"] for r in corpus_pipeline.STAGES[1][1](spark, odd, SMALL).collect()]
     assert sorted(kept) == [1, 5, 7, 8, 9]
+
+
+def test_columns_of_any_name_pass(spark):
+    docs = table(spark, SMALL, "documents")
+    for c in ("_kept", "_taken", "counts", "fp", "domain", "level_0", "hash"):
+        docs = docs.withColumn(c, mixing.F.lit("mine"))
+    for _, step in corpus_pipeline.STAGES[:-1]:
+        out = step(spark, docs, SMALL)
+        assert out.columns == docs.columns and out.where("_kept = 'mine' and counts = 'mine' and _taken = 'mine'").count() == out.count() > 0
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).count() == docs.count()
