@@ -5,6 +5,8 @@ These write to fresh folders under the shared checkpoint folder and read back.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, functions as F
 
 from accesslens.constants import STORED_MINUTE_REACH
@@ -127,12 +129,10 @@ def edge_rows(v) -> DataFrame:
     ),
 )
 def sink_parquet_rows(v):
-    """Parsed rows of two jobs under the minute five minutes earlier, marked by source."""
+    """Parsed rows of two sources under the minute five minutes earlier, parsed and written once."""
     path = staging.fresh_path(v.spark, "rows")
-    rows = edge_rows(v)
-    for i in (0, 1):
-        mine = rows.filter(F.col("event_id") % 2 == i)
-        sinks.write_rows(mine, path, F.col("ts_sec"), source=str(i + 1), shift_sec=300)
+    source = (F.col("event_id") % 2 + 1).cast("string")
+    sinks.write_rows(edge_rows(v), path, F.col("ts_sec"), source=source, shift_sec=300)
     read = v.spark.read.parquet(path).select("event_id", "domain", "cs", *sinks.MINUTE_PARTITIONS, "source")
     return read.withColumn("source", F.col("source").cast("bigint"))
 
@@ -142,10 +142,9 @@ def sink_catalog_partitions(v):
     """The same folders seen through the table catalog."""
     path = staging.fresh_path(v.spark, "cataloged")
     sinks.write_rows(edge_rows(v).select("event_id", "ts_sec", "domain", "cs"), path, F.col("ts_sec"))
-    table = "cataloged_rows"
+    table = "rows_" + path.rsplit("-", 1)[1]  # a name of the run: runs that share a catalog do not meet
     parts = ", ".join(f"{p} string" for p in sinks.MINUTE_PARTITIONS)
     schema = f"event_id bigint, domain string, cs bigint, {parts}"
-    v.spark.sql(f"DROP TABLE IF EXISTS {table}")  # of an earlier run; its folder stays
     sinks.register_table(v.spark, table, path, schema, sinks.MINUTE_PARTITIONS)
     return v.spark.table(table).select("event_id", "domain", "cs")
 
@@ -338,8 +337,8 @@ def adhoc_sql(v):
 def event_stream(v, files: int | None = None) -> DataFrame:
     """The events table as a stream, one file or a folder of files.
 
-    The last letter as a pattern makes the source take either; a table without files is an error, as in
-    a batch read, and not an empty stream.
+    The last letter as a pattern makes the source take either, marks of a pattern in the path are escaped; a table
+    without files is an error, as in a batch read, and not an empty stream.
     """
     path = f"{v.sf_dir}/events.parquet"
     if not v.table("events").inputFiles():
@@ -347,7 +346,7 @@ def event_stream(v, files: int | None = None) -> DataFrame:
     reader = v.spark.readStream.schema(EVENTS)
     if files:
         reader = reader.option("maxFilesPerTrigger", files)
-    return reader.parquet(f"{path[:-1]}[{path[-1]}]")
+    return reader.parquet(re.sub(r"([\\*?{}\[\]])", r"\\\1", path[:-1]) + f"[{path[-1]}]")
 
 
 BATCHES = 3
@@ -492,11 +491,12 @@ def batch_counts(v, files: int | None = None):
 
 @register("batch_counts_files", f"SELECT event_id % {BATCHES} AS batch_id, count(*) AS records FROM events GROUP BY 1")
 def batch_counts_files(v):
-    """Records of each of three batches."""
-    path = staging.fresh_path(v.spark, "counts")
-    write = lambda b, i: b.write.mode("overwrite").parquet(jobs.batch_folder(path, "data", i))
-    finished(jobs.count_batches(batched_events(v), write, path, f"{path}/checkpoint"))
-    return v.spark.read.parquet(f"{path}/counts").select("batch_id", "records")
+    """Records of each of three batches of a roll-up job, noted by a listener."""
+    path = staging.fresh_path(v.spark, "noted")
+    outputs = {n: lambda rows, _: rows.groupBy("event_type").count() for n in ("first", "second")}
+    with runner.batch_log(v.spark, f"{path}/log"):
+        finished(jobs.rollup_batches(batched_events(v), lambda b, _: b, outputs, path, f"{path}/checkpoint"))
+    return runner.read_log(v.spark, f"{path}/log").select("batch_id", "records")
 
 
 @register("scan_text_files", sql("located", f"SELECT domain, cs, userid, status FROM located WHERE {GOOD}"))

@@ -15,20 +15,20 @@ def _rebalanced(df: DataFrame, *by: str) -> DataFrame:
     return df.hint("rebalance", *by)
 
 
-def with_minute_labels(df: DataFrame, label_sec: Column, source: str | None = None) -> DataFrame:
+def with_minute_labels(df: DataFrame, label_sec: Column, source: str | Column | None = None) -> DataFrame:
     """Add month / day / hour / minute partition columns of a label time.
 
-    ``source`` separates jobs that write one table.
+    ``source`` separates jobs that write one table, or the sources of one job's rows.
     """
     out = df.withColumns(timing.partition_labels(label_sec))
     return out.withColumn("source", F.lit(source)) if source is not None else out
 
 
 def write_rows(
-    df: DataFrame, path: str, label_sec: Column, source: str | None = None, shift_sec: int = 0,
+    df: DataFrame, path: str, label_sec: Column, source: str | Column | None = None, shift_sec: int = 0,
     mode: str = "append",
 ) -> None:
-    """Append rows to a Parquet table partitioned by the minute of a label time."""
+    """Append rows to a Parquet table partitioned by the minute of a label time, and by source if there is one."""
     by = MINUTE_PARTITIONS + (("source",) if source is not None else ())
     labelled = with_minute_labels(df, label_sec - shift_sec, source)
     _rebalanced(labelled, *by).write.mode(mode).partitionBy(*by).parquet(path)

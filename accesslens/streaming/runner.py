@@ -9,12 +9,13 @@ from __future__ import annotations
 
 import json
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from accesslens.sources import staging
 
@@ -142,3 +143,51 @@ class _Paced(Control):
 
     def asked(self) -> bool:
         return self.wanted != self.limit or self.outer.asked()
+
+
+NOTES = "run_id string, batch_id bigint, records bigint, seconds double"
+
+
+class BatchLog(StreamingQueryListener):
+    """Notes the records and seconds of every batch that ends, of any job of the session, without touching its code.
+
+    Each job here reads its source once a batch (rows that serve several outputs are kept), so Spark's count of input
+    rows is that of the records.  Batches without records leave no note; a batch that runs again replaces its own.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        p = event.progress
+        if p.numInputRows:
+            note = {"run_id": str(p.runId), "batch_id": p.batchId, "records": p.numInputRows, "seconds": p.batchDuration / 1000}
+            staging.replace_text(self.spark, f"{self.path}/{p.id}-{p.batchId}.json", json.dumps(note))
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        pass
+
+
+@contextmanager
+def batch_log(spark: SparkSession, path: str, wait_ms: int = 60_000) -> Iterator[BatchLog]:
+    """A log of the batches that end within the block; all its notes are there behind it."""
+    log = BatchLog(spark, path)
+    spark.streams.addListener(log)
+    try:
+        yield log
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(wait_ms)
+    finally:
+        spark.streams.removeListener(log)
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """Notes of a log, one row a batch; none before the first."""
+    if not staging.has_files(spark, path):
+        return spark.createDataFrame([], NOTES)
+    return spark.read.schema(NOTES).option("pathGlobFilter", "*.json").json(path)

@@ -158,3 +158,19 @@ def test_user_sql_leaves_the_session_as_it_was(spark):
     spark.catalog.dropTempView("loginfo")
     assert jobs.run_sql(spark.range(5), "SELECT count(*) AS n FROM loginfo").first().n == 5
     assert "loginfo" not in {t.name for t in spark.catalog.listTables()}
+
+
+def test_a_listener_notes_every_batch_of_any_job(spark, folder):
+    for i, n in enumerate((30, 20, 50)):
+        put(spark, f"{folder}/in", i * 1000, n)
+    assert runner.read_log(spark, f"{folder}/log").collect() == []
+    with runner.batch_log(spark, f"{folder}/log"):
+        outputs = {"one": five, "two": five}
+        rows = stream(spark, f"{folder}/in")
+        jobs.rollup_batches(rows, lambda b, _: b, outputs, f"{folder}/out", f"{folder}/cp").awaitTermination()
+    with runner.batch_log(spark, f"{folder}/final-log"):
+        jobs.final_batches(stream(spark, f"{folder}/in"), lambda b, _: b, KEYS, f"{folder}/f", f"{folder}/f/cp").awaitTermination()
+    for log in ("log", "final-log"):
+        notes = runner.read_log(spark, f"{folder}/{log}").orderBy("batch_id").collect()
+        assert [(r.batch_id, r.records) for r in notes] == [(0, 30), (1, 20), (2, 50)]
+        assert all(r.seconds > 0 for r in notes)

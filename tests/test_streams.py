@@ -160,6 +160,23 @@ def test_streams_read_a_folder_of_files(spark, folder):
         io_queries.event_stream(LogView(spark, f"{folder}/none"))
 
 
+def test_a_path_with_marks_of_a_pattern_is_a_path(spark, folder):
+    from accesslens.plans import io_queries
+    from accesslens.plans.view import LogView
+
+    odd = f"{folder}/a{{b}}[c]"
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    os.makedirs(odd)
+    events.write.parquet(f"{folder}/plain")
+    os.rename(f"{folder}/plain", f"{odd}/events.parquet")
+    view = LogView(spark, odd)
+    view.table = lambda _: events
+    path = f"{folder}/got"
+    write = lambda b, i: b.write.mode("append").parquet(path)
+    jobs.start(io_queries.event_stream(view), write, f"{folder}/cp").awaitTermination()
+    assert spark.read.parquet(path).count() == events.count()
+
+
 LINE = (
     'LOG_edge host-1 1.2.3.4 5 - [01/Nov/2016:09:49:34 +0800] "GET http://img.example.com/a.gif HTTP/1.1" 200 {} "-" '
     '"Android" HIT 0 0 0 0 0 0 0 0 0 0 - - - - 5.6.7.8'
