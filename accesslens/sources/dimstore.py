@@ -95,7 +95,7 @@ class DimStore:
         met = None
         if sources:
             met = (self.root, name, *_settings(self.spark), *[m for s in sources for m in staging.folder_marks(self.spark, s)])
-            if met in _MET:
+            if met in _MET and staging.exists(self.spark, _MET[met].path):
                 return _MET[met]
         kept = self._kept(name, dim if isinstance(dim, DataFrame) else dim(), first)
         if met:
@@ -108,7 +108,9 @@ class DimStore:
         manifest = f"{folder}/manifest.json"
         found = staging.read_text(self.spark, manifest) if version else None
         if found is not None:
-            return Kept(**json.loads(found))
+            kept = Kept(**json.loads(found))
+            if staging.exists(self.spark, kept.path):  # else someone cleared the folder
+                return kept
         made = self._write(f"{folder}/{uuid.uuid4().hex}", df, first)
         staging.replace_text(self.spark, manifest, json.dumps(asdict(made)))
         return made

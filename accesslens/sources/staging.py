@@ -75,6 +75,11 @@ def folder_marks(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
     return sorted((s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in store.listStatus(at))
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    store, at = _store(spark, path)
+    return store.exists(at)
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     """A small file; None where there is none."""
     store, file = _store(spark, path)

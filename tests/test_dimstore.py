@@ -82,6 +82,16 @@ def test_a_version_is_written_once_and_a_changed_file_again(spark, folder):
     assert spark.read.parquet(first.path).count() == 1  # who still reads the old one can
 
 
+def test_a_cleared_folder_is_written_again(spark, folder):
+    store, path = DimStore(spark), domain_file(folder, "3")
+    recipe = lambda: loads.load_domains(loads.read_lines(spark, path))
+    for sources in ([path], []):
+        first = store.keep("cleared", recipe, sources)
+        staging.remove(spark, first.path)
+        again = store.keep("cleared", recipe, sources)
+        assert again.path != first.path and store.read(again).count() == 1
+
+
 def test_versions_follow_the_plan_and_the_files(spark, folder):
     path = domain_file(folder, "7")
     read = spark.read.text(path)
