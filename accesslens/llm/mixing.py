@@ -21,7 +21,7 @@ from accesslens.llm.common import free_name, stage, table
 
 #: Value that stands for all that a level does not list.
 OTHER = "*"
-#: Bits of the hash that name a slice.
+#: Bits of the hash that name a slice, at least.
 SLICE_BITS = 12
 SEED = 17
 
@@ -93,6 +93,11 @@ def leaf_budgets(levels: list[Level], tokens: dict[tuple, int], budget: int, max
     return whole
 
 
+def slice_bits(rows: int) -> int:
+    """Slices grow with the root of the rows: neither the slices of a leaf nor the rows of the one with the cut are many for one task."""
+    return max(SLICE_BITS, -(-rows.bit_length() // 2))
+
+
 def mix(docs: DataFrame, levels: list[Level], budget_part: float, max_epochs: int, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, epoch, tokens, one column per level): a row for each time a document is taken.
 
@@ -111,14 +116,15 @@ def mix(docs: DataFrame, levels: list[Level], budget_part: float, max_epochs: in
         *[x.value().alias(n) for x, n in zip(levels, names)],
     )
     rows = stage(rows, "mix-tokens")
-    found = rows.groupBy(*names).agg(F.sum("tokens").alias("tokens")).collect()  # at most the listed leaves
+    found = rows.groupBy(*names).agg(F.sum("tokens").alias("tokens"), F.count("*").alias("rows")).collect()  # at most the listed leaves
+    bits = slice_bits(sum(r["rows"] for r in found))
     tokens = {tuple(r[n] for n in names): r["tokens"] for r in found if r["tokens"]}
     budgets = leaf_budgets(levels, tokens, int(sum(tokens.values()) * budget_part), max_epochs)
     plan = [(*p, budgets[p] // tokens[p], budgets[p] % tokens[p]) for p in tokens if budgets.get(p)]
     schema = ", ".join(f"{n} string" for n in names) + ", epochs long, rest long"
     plan = F.broadcast(rows.sparkSession.createDataFrame(plan, schema))
     planned = rows.join(plan, names).withColumn("hash", F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col("epochs"), F.col("doc_id")), 1))
-    planned = planned.withColumn("slice", F.shiftright("hash", 63 - SLICE_BITS))
+    planned = planned.withColumn("slice", F.shiftright("hash", 63 - bits))
 
     slices = planned.where("rest > 0").groupBy(*names, "slice", "rest").agg(F.sum("tokens").alias("held"))
     upto = Window.partitionBy(*names).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)

@@ -96,3 +96,10 @@ def test_odd_rows(spark, odd, empty):
     assert op.mix(op.with_domain(empty), op.LEVELS, 1.0, 2).collect() == []
     assert op.mix_stage(spark, empty, "").columns == empty.columns
     assert op.mix_stage(spark, odd, "").count() <= len(ODD)
+
+
+def test_more_slices_for_more_rows_and_the_same_result(spark, monkeypatch):
+    assert [op.slice_bits(n) for n in (0, 10**6, 1 << 30, 10**11)] == [12, 12, 16, 19]
+    few = sorted(map(tuple, op.op3_mixing(spark, "/root/testdata/sf0.001").collect()), key=str)
+    monkeypatch.setattr(op, "slice_bits", lambda rows: 17)
+    assert sorted(map(tuple, op.op3_mixing(spark, "/root/testdata/sf0.001").collect()), key=str) == few
