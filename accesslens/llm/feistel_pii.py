@@ -187,6 +187,11 @@ def _day(text: Column, form: str) -> Column:
     return F.try_to_timestamp(text, F.lit(form)).cast("date")
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def permute_day(day: Column, key: str) -> Column:
     """Another day; null outside the domain.  Days up to the twelfth of a month and later ones are permuted apart.
 
@@ -194,31 +199,39 @@ def permute_day(day: Column, key: str) -> Column:
     reads in both orders: two days would have one pseudonym.
     """
     first = F.lit(FIRST_DAY).cast("date")
-    month = ((F.year(day) - 1900) * 12 + F.month(day) - 1).cast("long")
-    at = F.dayofmonth(day).cast("long")
-    early = feistel(month * 12 + at - 1, MONTHS, 12, F.lit("date"), key)
-    early_day = F.date_add(F.add_months(first, _div(early, _long(12)).cast("int")), (early % 12).cast("int"))
-    # days after the twelfth in a row: each month leaves out twelve
-    late = feistel(F.datediff(day, first).cast("long") - 12 * (month + 1), *LATE_DAYS, F.lit("late date"), key)
-    near = _div(late * MONTHS, _long(LATE_DAYS[0] * LATE_DAYS[1]))  # its month, give or take two
-    late_day = None
-    for off in range(-2, 3):
-        m = near + off
-        d = F.date_add(first, (late + 12 * (m + 1)).cast("int"))
-        found = F.when(((F.year(d) - 1900) * 12 + F.month(d) - 1 == m) & (F.dayofmonth(d) > 12), d)
-        late_day = found if late_day is None else F.coalesce(late_day, found)
-    return F.when(month.between(0, MONTHS - 1), F.when(at <= 12, early_day).otherwise(late_day))
+
+    def month(d: Column) -> Column:
+        return ((F.year(d) - 1900) * 12 + F.month(d) - 1).cast("long")
+
+    def early(n: Column) -> Column:
+        return F.date_add(F.add_months(first, _div(n, _long(12)).cast("int")), (n % 12).cast("int"))
+
+    def late(n: Column) -> Column:
+        # days after the twelfth in a row: each month leaves out twelve; n lies in the month near its share of all, give or take two
+        near = _div(n * MONTHS, _long(LATE_DAYS[0] * LATE_DAYS[1]))
+        months = F.transform(F.sequence(near - 2, near + 2), lambda m: F.struct(m.alias("m"), F.date_add(first, (n + 12 * (m + 1)).cast("int")).alias("d")))
+        return F.get(F.filter(months, lambda x: (month(x.d) == x.m) & (F.dayofmonth(x.d) > 12)), 0).d
+
+    def moved(d: Column) -> Column:
+        at = F.dayofmonth(d).cast("long")
+        low = _let(feistel(month(d) * 12 + at - 1, MONTHS, 12, F.lit("date"), key), early)
+        high = _let(feistel(F.datediff(d, first).cast("long") - 12 * (month(d) + 1), *LATE_DAYS, F.lit("late date"), key), late)
+        return F.when(month(d).between(0, MONTHS - 1), F.when(at <= 12, low).otherwise(high))
+
+    return _let(day, moved)
 
 
 def _date(value: Column, key: str) -> Column:
     """Day first where both orders are days; the order of the value is kept."""
     forms = ((r"^\d{4}-", "yyyy-MM-dd"), (r"^\d{2}/", "dd/MM/yyyy"), (r"^\d{2}/", "MM/dd/yyyy"), (r"^\d{2}\.", "dd.MM.yyyy"))
-    days = [_day(F.when(value.rlike(shape), value), form) for shape, form in forms]
-    moved = permute_day(F.coalesce(*days), key)
-    out = F
-    for day, (_, form) in zip(days, forms):
-        out = out.when(day.isNotNull(), F.date_format(moved, form))
-    return out
+    days = F.array(*[_day(F.when(value.rlike(shape), value), form) for shape, form in forms])
+
+    def written(days: Column) -> Column:
+        at = F.array_position(F.transform(days, lambda d: d.isNotNull()), True)  # from 1; 0 where none is a day
+        texts_ = lambda d: F.array(*[F.date_format(d, form) for _, form in forms])
+        return F.when(at > 0, _let(permute_day(F.get(days, (at - 1).cast("int")), key), lambda d: F.get(texts_(d), (at - 1).cast("int"))))
+
+    return _let(days, written)
 
 
 def _email(value: Column, key: str) -> Column:
